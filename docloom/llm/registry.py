@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import shared_spans, splitting
+from . import canonical, mixing, near_duplicates, packing, shared_spans, splitting
 
-MODULES = [splitting, shared_spans]
+MODULES = [canonical, near_duplicates, splitting, shared_spans, packing, mixing]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}
