@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import canonical, mixing, near_duplicates, packing, shared_spans, splitting, subjects, truncation
+from . import canonical, mixing, near_duplicates, packing, responses, shared_spans, splitting, subjects, truncation
 
-MODULES = [truncation, canonical, near_duplicates, splitting, shared_spans, packing, mixing, subjects]
+MODULES = [truncation, canonical, near_duplicates, splitting, shared_spans, responses, packing, mixing, subjects]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}
