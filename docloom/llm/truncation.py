@@ -1,11 +1,11 @@
 """Text cut off by field limits (problem 1).
 
 A value lost its end if its last unit (sentence, list entry or table row) is a strict prefix of a longer copy elsewhere.
-Two kinds of copies are searched, both by hashing prefixes:
+Two kinds of copies are searched, one by sorting values and one by hashing prefixes:
 
 * *literal* copies, for passages quoted from chunks and tables: units of all sources and the last units of all passages
-  are hashed by fixed-length prefixes and sorted; a unit is a strict prefix of a longer one exactly if it is one of its
-  successor, so nothing is compared pairwise. A unit that also stands whole in a source is whole.
+  are sorted; a unit is a strict prefix of a longer one exactly if it is one of its successor, so nothing is compared
+  pairwise. A unit that also stands whole in a source is whole.
 * copies of *form*, for answers, which have no original: every prefix of every answer sentence is hashed with numbers,
   names and codes masked by their shape (opening words and last words of the prefix). The counts tell whether texts of
   that form end there or go on.
@@ -22,13 +22,13 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .canonical import canonical_text
 from .common import materialize, table
 
-LADDER = (16, 48)  # fixed lengths of hashed prefixes
+LEAST_UNIT = 16  # characters; shorter units are copies of too much
 OPENING_WORDS, LAST_WORDS = 2, 3
 #: Where fewer than this share of the texts of one form end, and at least ``LEAST_LONGER`` go on, an end there is a loss.
 END_SHARE, LEAST_LONGER = 0.05, 3
@@ -263,7 +263,7 @@ def _source_units(chunks: DataFrame, tables: DataFrame) -> DataFrame:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = {_normal(u) for text in batch.column(0).to_pylist() if text for u in units(text)}
-            yield pa.RecordBatch.from_arrays([pa.array([u for u in found if len(u) >= LADDER[0]], pa.string())], ["unit"])
+            yield pa.RecordBatch.from_arrays([pa.array([u for u in found if len(u) >= LEAST_UNIT], pa.string())], ["unit"])
 
     rows = tables.select(F.explode("cell_rows").alias("r")).select(F.array_join("r", " | ", "").alias("text"))
     return chunks.select("text").unionByName(rows).mapInArrow(split, "unit string")
@@ -273,6 +273,44 @@ def _normal(unit: str) -> str:
     return " ".join(canonical_text(unit).split())
 
 
+def _longer_copies(marked: DataFrame) -> DataFrame:
+    """(unit, verdict) for asked units that stand whole in a source (WHOLE) or begin a longer unit of one (LOST).
+
+    All units are sorted over all partitions, by ranges, so no beginning shared by many is a hot group. The units that
+    a unit begins follow it directly; a range ends at a unit that occurs, so they follow it in its own partition, unless
+    the bound is the asked unit itself: such a unit (one for each partition at most) is left to its form.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, wanted, there = None, False, False
+        out: list[tuple[str, int]] = []
+        for batch in batches:
+            for unit, is_asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if unit != current:
+                    if wanted and (verdict := _compared(current, there, unit)) is not None:
+                        out.append((current, verdict))
+                    current, wanted, there = unit, False, False
+                wanted |= is_asked
+                there |= not is_asked
+            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in out], pa.string()), pa.array([v for _, v in out], pa.int32())], ["unit", "verdict"])
+            out.clear()
+        if wanted and there:
+            yield pa.RecordBatch.from_arrays([pa.array([current], pa.string()), pa.array([WHOLE], pa.int32())], ["unit", "verdict"])
+
+    return marked.repartitionByRange("unit").sortWithinPartitions("unit").mapInArrow(scan, "unit string, verdict int")
+
+
+def _compared(unit: str, there: bool, following: str) -> int | None:
+    if there:
+        return WHOLE
+    if following.startswith(unit):
+        rest = following[len(unit) :]
+        # After a stop only a copy that goes on without a blank is longer: the stop is then a decimal point or the like.
+        if any(c.isalnum() or c in "$|" for c in rest) and not (_TERMINAL.search(unit) and rest[0].isspace()):
+            return LOST
+    return None
+
+
 def passage_verdicts(passages: DataFrame, chunks: DataFrame, tables: DataFrame) -> DataFrame:
     """ids of passages that lost their end. Input: id, text; chunks: text; tables: cell_rows."""
 
@@ -287,26 +325,14 @@ def passage_verdicts(passages: DataFrame, chunks: DataFrame, tables: DataFrame)
                     rows.append((k, True, None, LOST))
                     continue
                 unit = _normal(_last_unit(text))
-                rows.append((k, None, unit if len(unit) >= LADDER[0] else None, passage_form(text)))
+                rows.append((k, None, unit if len(unit) >= LEAST_UNIT else None, passage_form(text)))
             cols = list(zip(*rows)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [batch.schema.field(0).type, pa.bool_(), pa.string(), pa.int32()])], ["id", "sure", "unit", "shape"])
 
     kind = passages.schema["id"].dataType.simpleString()
     ends = materialize(passages.select("id", "text").mapInArrow(read, f"id {kind}, sure boolean, unit string, shape int").distinct(), "p1-ends")
-    short, long = LADDER
-    # A source unit is hashed by both lengths, a passage's unit by the longest that it has; short ones need no more of
-    # the source than its beginning.
-    source = _source_units(chunks, tables).distinct()
-    sources = source.select(F.explode(F.array(F.struct(F.lit(short).alias("size"), F.substring("unit", 1, 2 * long).alias("unit")), F.struct(F.when(F.length("unit") >= long, long).alias("size"), F.col("unit").alias("unit")))).alias("e")).select("e.*").where("size is not null").withColumn("asked", F.lit(False))
-    asked = ends.where("unit is not null").select(F.when(F.length("unit") >= long, long).otherwise(short).alias("size"), "unit").distinct().withColumn("asked", F.lit(True))
-    hashed = sources.unionByName(asked).withColumn("h", F.xxhash64("size", F.expr("substring(unit, 1, size)")))
-    merged = hashed.groupBy("h", "size", "unit").agg(F.bool_or("asked").alias("asked"), F.bool_or(~F.col("asked")).alias("there"))
-    following = F.lead("unit").over(Window.partitionBy("h", "size").orderBy("unit"))
-    rest = F.expr("substring(following, length(unit) + 1)")
-    # After a stop only a copy that goes on without a blank is longer: the stop is then a decimal point or the like.
-    goes_on = rest.rlike(r"[\p{L}\p{N}$|]") & (~F.col("unit").rlike(r"[.!?][\"'”’»)\]]*$") | ~rest.rlike(r"^\s"))
-    verdict = F.when(F.col("there"), F.lit(WHOLE)).when(F.startswith("following", "unit") & goes_on, F.lit(LOST))
-    judged = merged.withColumn("following", following).where("asked").select("unit", verdict.alias("verdict")).where("verdict is not null")
+    asked = ends.where("unit is not null").select("unit", F.lit(True).alias("asked"))
+    judged = _longer_copies(_source_units(chunks, tables).select("unit", F.lit(False).alias("asked")).unionByName(asked))
     joined = ends.join(judged, "unit", "left")
     return joined.where(F.coalesce("sure", F.coalesce("verdict", "shape") == LOST)).select("id").distinct()
 
