@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -45,3 +46,12 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
             yield from fn(batch)
 
     return df.mapInArrow(run, schema)
+
+
+def spread_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """At most ``limit`` rows, chosen by a hash of ``key`` and the same in every run.
+
+    Rows are thinned by hash before they are ordered, so no task hands on more than its share of the sample.
+    """
+    thin = max(1, df.count() // max(1, 2 * limit))
+    return df.where(F.pmod(F.xxhash64(key, F.lit(1)), F.lit(thin)) == 0).orderBy(F.xxhash64(key), key).limit(limit)

@@ -13,13 +13,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import spread_sample, table
 from .truncation import answer_verdicts, content
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
@@ -58,9 +59,13 @@ _OTHERS = re.compile(
     r"\b(?:no (?:puedo|podemos|dispongo|me es posible|tengo (?:datos|acceso|información)|estoy en condiciones)|lo siento|lamento|(?:kann|darf|könnte|möchte) ich\b.*\b(?:nicht|keine)|ich (?:kann|darf|möchte|habe|bin)\b.*\b(?:nicht|keine)|leider|je (?:ne |n['’])(?:peux|suis|dispose|ai)|désolée?|regrette|impossible de répondre|non posso|mi dispiace|non sono in grado|não posso|desculpe|não (?:tenho|disponho)|ik kan\b.*\b(?:niet|geen)|helaas|nie mogę|niestety|przepraszam)\b",
     re.IGNORECASE,
 )
+#: Some part of every phrase above, in lower case, to pass over the many clauses without any.
+_GATE = ("n't", "n’t", "dont", "cant", "wont", "couldnt", "not", "no ", "non ", "nothing", "unable", "declin", "refus", "against", "rather", "lack", "guess", "leave", "pass", "outside", "beyond", "sorry", "apolog", "little", "insufficient", "impossible", "off limits", "siento", "lamento", "keine", "nicht", "leider", "je ", "désol", "regret", "dispiace", "não", "desculpe", "niet", "geen", "helaas", "nie ", "niestety", "przepraszam", "be resolved", "be determined", "be answered")
+_REPORT_GATE = ('"', "“", "«", "„", "”", "»", "stated", "says", "said", "management", "the company", "the board", "the registrant", "the chair", "the filing", "it refused", "it declined", "request was", "declined the", "in the words", "turned ", "we ")
+_CLOSING_GATE = ("please ", "anything else", "directly", "let me know", "feel free")
 _CLOSING = re.compile(r"\b(?:please (?:consult|ask|contact|see|refer|check|try)|is there anything else|ask [A-ZÀ-Þ]\S*(?: \S+)* directly|let me know|feel free)\b", re.IGNORECASE)
 _REPORTED = re.compile(r"^[\"“«„]|[\"”»],? (?:the|said)|\b(?:stated|says|said|management|the (?:company|board|registrant|chair|filing)|it (?:refused|stated|declined)|request was|declined the|in the words|turned .* down|we (?:cannot|do not|are unable))\b", re.IGNORECASE)
-_AMOUNT = re.compile(r"[$€£]\s?\(?\d|\d[\d,.]*\s?(?:%|percent|million|thousand|billion)\b|\d{1,3}(?:,\d{3})+")
+_AMOUNT = re.compile(r"[$€£]\s?\(?\d|\d\s?(?:%|percent|million|thousand|billion)|\d,\d{3}")
 _CLAUSE = re.compile(r"(?<=[.!?;。])[\"”»)\]]*\s+")
 _LEAD = re.compile(r"^(?:answer|antwort|respuesta|réponse|question|q|a)\s*[:.]\s*", re.IGNORECASE)
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
@@ -73,24 +78,28 @@ class Prompt:
     """What clauses of a response are compared with."""
 
     words: frozenset[str]
-    letters: frozenset[str]
     language: int
 
+    @cached_property
+    def letters(self) -> frozenset[str]:
+        """Sorted letters of each word, to know words with letters exchanged."""
+        return frozenset("".join(sorted(w)) for w in self.words)
 
-def _hits(words: list[str]) -> list[int]:
+
+def _hits(words: set[str]) -> list[int]:
     counts = [0] * len(_LANGUAGES)
-    for w in set(words):
-        for i in _BY_WORD.get(w, ()):
+    for w in words & _BY_WORD.keys():
+        for i in _BY_WORD[w]:
             counts[i] += 1
     return counts
 
 
 def prompt_of(question: str) -> Prompt:
-    written = _WORD.findall(question)
-    words = [w.lower() for w in written]
-    counts = _hits([w for w in written if w[0].islower()] or words)
+    written = set(_WORD.findall(question))
+    words = frozenset(w.lower() for w in written)
+    counts = _hits(written if any(w[0].islower() for w in written) else words)
     best = max(counts)
-    return Prompt(frozenset(words), frozenset("".join(sorted(w)) for w in words), counts.index(best) if best else -1)
+    return Prompt(words, counts.index(best) if best else -1)
 
 
 def clauses(text: str) -> list[str]:
@@ -98,29 +107,38 @@ def clauses(text: str) -> list[str]:
     return out or [text]
 
 
-def features(prompt: Prompt, clause: str, first: bool, last: bool, lost: bool) -> np.ndarray:
-    words = [w.lower() for w in _WORD.findall(clause)]
+def features(prompt: Prompt, clause: str, first: bool, last: bool, lost: bool) -> list[float]:
+    """One number for each of the ``N_FEATURES`` features of a clause."""
+    written = _WORD.findall(clause)
+    words = [w.lower() for w in written]
     n = max(1, len(words))
-    known = [w in prompt.words or "".join(sorted(w)) in prompt.letters for w in words]
+    known = [w in prompt.words for w in words]
     inside = sum(known) / n
+    if 0.5 <= inside < 1:  # an echo with slips, perhaps
+        known = [k or "".join(sorted(w)) in prompt.letters for w, k in zip(words, known)]
+        inside = sum(known) / n
     covered = len({w for w, k in zip(words, known) if k}) / max(1, len(prompt.words))
-    fresh_number = any(not k and any(c.isdigit() for c in w) for w, k in zip(words, known))
-    # Names don't tell the language: prose is what is written in lower case.
-    counts = _hits([w for w in _WORD.findall(clause) if w[0].islower()] + ([words[0]] if words else []))
+    fresh_number = any(not k and not w.isalpha() and any(c.isdigit() for c in w) for w, k in zip(words, known))
+    # Names don't tell the language: prose is what is written in lower case, so words count as they are written.
+    counts = _hits({*written, *words[:1]})
     own = counts[prompt.language] if prompt.language >= 0 else 0
     other = max((c for i, c in enumerate(counts) if i != prompt.language), default=0) if prompt.language >= 0 else 0
-    me, no, gap, abroad = (bool(r.search(clause)) for r in (_SELF, _DECLINE, _SHORTFALL, _OTHERS))
-    reported, amount, closing = bool(_REPORTED.search(clause)), bool(_AMOUNT.search(clause)), bool(_CLOSING.search(clause))
+    low = clause.lower()
+    refusable = any(x in low for x in _GATE)
+    me = refusable and bool(_SELF.search(clause))
+    no = me and bool(_DECLINE.search(clause))
+    gap, abroad = (refusable and bool(r.search(clause)) for r in (_SHORTFALL, _OTHERS))
+    reported = any(x in low for x in _REPORT_GATE) and bool(_REPORTED.search(clause))
+    amount = bool(_AMOUNT.search(clause))
+    closing = any(x in low for x in _CLOSING_GATE) and bool(_CLOSING.search(clause))
     refusing = (me and no) or gap or abroad
-    x = np.zeros(N_FEATURES)
-    x[: N_FEATURES - 1] = [
+    return [
         1, first, last, lost and last, n <= 3, n > 12,
         inside >= 0.95, 0.8 <= inside < 0.95, inside < 0.6, covered >= 0.6, 0.4 <= covered < 0.6, covered < 0.4, (inside >= 0.85) and covered >= 0.5, fresh_number,
         other >= 2 and other > own, other >= 3 and own == 0, own >= 2, other >= 2 and own == 0 and n > 3, other == own == 0,
         me and no, gap, abroad, refusing and not reported and not amount, refusing and reported, refusing and amount, reported, amount, closing, closing and not amount,
+        inside >= 0.8 and covered >= 0.55 and not fresh_number,
     ]
-    x[N_FEATURES - 1] = (inside >= 0.8) and covered >= 0.55 and not fresh_number
-    return x
 
 
 @dataclass
@@ -130,23 +148,28 @@ class ChainField:
     emission: np.ndarray  # (features, tags)
     transition: np.ndarray  # (tags, tags)
 
-    def tag(self, sequences: list[np.ndarray]) -> list[np.ndarray]:
-        """Most likely tags of each sequence, by Viterbi."""
-        out = []
-        for x in sequences:
-            score = x @ self.emission
-            back = np.zeros(score.shape, np.int64)
-            for t in range(1, len(score)):
-                step = score[t - 1][:, None] + self.transition
-                back[t] = step.argmax(axis=0)
-                score[t] += step.max(axis=0)
-            tags = np.zeros(len(score), np.int64)
-            tags[-1] = score[-1].argmax()
-            for t in range(len(score) - 1, 0, -1):
-                tags[t - 1] = back[t][tags[t]]
-            out.append(tags)
+    def tag(self, clauses_: np.ndarray, lengths: list[int]) -> list[np.ndarray]:
+        """Most likely tags of each sequence of clauses, by Viterbi; sequences stand one after another."""
+        scores = clauses_ @ self.emission
+        best = scores.argmax(axis=1)
+        out, at = [], 0
+        for n in lengths:
+            out.append(best[at : at + 1] if n == 1 else self._viterbi(scores[at : at + n].copy()))
+            at += n
         return out
 
+    def _viterbi(self, score: np.ndarray) -> np.ndarray:
+        back = np.zeros(score.shape, np.int64)
+        for t in range(1, len(score)):
+            step = score[t - 1][:, None] + self.transition
+            back[t] = step.argmax(axis=0)
+            score[t] += step.max(axis=0)
+        tags = np.zeros(len(score), np.int64)
+        tags[-1] = score[-1].argmax()
+        for t in range(len(score) - 1, 0, -1):
+            tags[t - 1] = back[t][tags[t]]
+        return tags
+
 
 def _log_sum(a: np.ndarray, axis: int) -> np.ndarray:
     most = a.max(axis=axis, keepdims=True)
@@ -225,7 +248,7 @@ def training_sequences(pairs: list[tuple[str, str]], seed: int = 5) -> tuple[lis
         if found:
             if lost:
                 found = [(c, t if i + 1 < len(found) else UNFINISHED) for i, (c, t) in enumerate(found)]
-            xs.append(np.stack([features(prompt, c, i == 0, i + 1 == len(found), lost) for i, (c, _) in enumerate(found)]))
+            xs.append(np.array([features(prompt, c, i == 0, i + 1 == len(found), lost) for i, (c, _) in enumerate(found)], float))
             ys.append([t for _, t in found])
 
     def edited(question: str) -> str:
@@ -288,7 +311,7 @@ def defect_of(tags: np.ndarray, sizes: list[int]) -> str | None:
 
 
 def training_pairs(qa: DataFrame, limit: int = MAX_TRAINING_PAIRS) -> list[tuple[str, str]]:
-    rows = qa.where("question is not null and answer is not null").select("id", "question", "answer").orderBy(F.xxhash64("id"), "id").limit(limit).collect()
+    rows = spread_sample(qa.where("question is not null and answer is not null").select("id", "question", "answer"), "id", limit).collect()
     return [(r["question"], text) for r in rows if (text := content(r["answer"])) and r["question"].strip()]
 
 
@@ -308,7 +331,7 @@ def pair_defects(qa: DataFrame, field: ChainField | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, found = [], []
+            ids, found, open_ids, rows, sizes = [], [], [], [], []
             for k, question, answer, is_lost in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 text = content(answer)
                 if not text:
@@ -316,11 +339,14 @@ def pair_defects(qa: DataFrame, field: ChainField | None = None) -> DataFrame:
                     found.append("empty_answer")
                     continue
                 prompt, parts = prompt_of(question or ""), clauses(text)
-                x = np.stack([features(prompt, c, i == 0, i + 1 == len(parts), is_lost) for i, c in enumerate(parts)])
-                defect = defect_of(shared.value.tag([x])[0], [max(1, len(c.split())) for c in parts])
-                if defect:
-                    ids.append(k)
-                    found.append(defect)
+                rows += [features(prompt, c, i == 0, i + 1 == len(parts), is_lost) for i, c in enumerate(parts)]
+                open_ids.append(k)
+                sizes.append([max(1, len(c.split())) for c in parts])
+            if rows:
+                for k, tags, size in zip(open_ids, shared.value.tag(np.array(rows, float), list(map(len, sizes))), sizes):
+                    if defect := defect_of(tags, size):
+                        ids.append(k)
+                        found.append(defect)
             yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.array(found, pa.string())], ["id", "defect"])
 
     return flagged.mapInArrow(run, f"id {kind}, defect string").groupBy("id").agg(F.min("defect").alias("defect"))

@@ -240,7 +240,7 @@ def answer_verdicts(answers: DataFrame) -> DataFrame:
 
     kind = answers.schema["id"].dataType.simpleString()
     open_ends = answers.select("id", "text").mapInArrow(judge, f"id {kind}, sure boolean, form long, tail long, before long, shape int, stop boolean")
-    counts = form_counts(answers, openers)
+    counts = materialize(form_counts(answers, openers), "p1-forms")
     tails = counts.select(F.col("form").alias("tail"), F.col("ends").alias("tail_ends"), F.col("longer").alias("tail_longer"))
     there = counts.select(F.col("form").alias("before"), F.col("longer").alias("before_longer"))
     joined = open_ends.join(counts, "form", "left").join(tails, "tail", "left").join(there, "before", "left")
