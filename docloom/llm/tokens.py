@@ -10,6 +10,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rank file of a byte-level BPE, as ``tiktoken`` reads it; a parameter of every operator that counts tokens.
 VOCABULARY = os.environ.get("DOCLOOM_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -29,7 +30,7 @@ def encoding(vocabulary: str):
 def with_tokens(df: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, name: str = "n_tokens") -> DataFrame:
     """The columns of ``df`` except ``text``, and ``name``: the size of ``text`` in tokens; null and empty texts have 0."""
     others = [c for c in df.columns if c not in (text, name)]
-    schema = df.select(*[F.col(f"`{c}`") for c in others]).schema.add(name, "long")
+    schema = T.StructType([*df.select(*[F.col(f"`{c}`") for c in others]).schema.fields, T.StructField(name, T.LongType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(vocabulary).encode_ordinary
