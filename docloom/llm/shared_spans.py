@@ -244,4 +244,15 @@ def p5_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p5_found": p5_found, "p5_spans": p5_spans}
-SQL: dict[str, str] = {}
+SQL = {
+    "p5_found": r"""
+        WITH r AS (
+            SELECT DISTINCT 'chunk' AS record_kind, chunk_id AS record_id, filing_id, text FROM chunks WHERE text IS NOT NULL
+            UNION ALL SELECT DISTINCT 'passage', id, filing_id, source_passage FROM generated_qa WHERE source_passage IS NOT NULL
+        ), w AS (
+            SELECT record_kind, record_id, filing_id, list_filter(regexp_split_to_array(text, '[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), lambda x: x <> '') AS ws FROM r
+        ), g AS (SELECT record_kind, record_id, filing_id, unnest(list_transform(range(1, len(ws) - 28), lambda i: array_to_string(ws[i:i + 29], ' '))) AS run FROM w WHERE len(ws) >= 30),
+        s AS (SELECT run FROM g GROUP BY run HAVING min(filing_id) <> max(filing_id))
+        SELECT DISTINCT record_kind, record_id FROM g JOIN s USING (run)
+    """,
+}

@@ -188,8 +188,8 @@ def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"p4_found": p4_found, "p4_pieces": p4_pieces}
 SQL = {
-    "p4_found": """
+    "p4_found": r"""
         SELECT DISTINCT chunk_id FROM chunks
-        WHERE len(list_filter(regexp_split_to_array(text, '[\\s\\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+'), lambda x: x <> '')) * 13 // 10 > 600
+        WHERE len(list_filter(regexp_split_to_array(text, '[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), lambda x: x <> '')) * 13 // 10 > 600
     """,
 }
