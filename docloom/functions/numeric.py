@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,9 +32,9 @@ def numbers(text: Column) -> Column:
 
 def claimed_value(answer: Column) -> Column:
     """First figure after the last equals sign, or else the first of all; null without any."""
-    after = F.element_at(F.split(answer, "=", -1), -1)
-    first = lambda a: F.try_element_at(a, F.lit(1))
-    return F.when(F.contains(answer, F.lit("=")), F.coalesce(first(numbers(after)), first(numbers(answer)))).otherwise(first(numbers(answer)))
+    first = lambda a: F.try_element_at(numbers(a), F.lit(1))
+    after = F.when(F.contains(answer, F.lit("=")), F.element_at(F.split(answer, "=", -1), -1))
+    return F.coalesce(first(after), first(answer))
 
 
 def within_tolerance(a: Column, b: Column, pct: float) -> Column:
@@ -40,15 +42,14 @@ def within_tolerance(a: Column, b: Column, pct: float) -> Column:
     return F.when(b == 0, F.abs(a - b) < 1e-6).otherwise(F.try_divide(F.abs(a - b), F.abs(b)) * 100.0 <= pct)
 
 
-def _relation(name: str, a: Column, b: Column) -> Column:
-    return {
-        "difference": a - b,
-        "abs_difference": F.abs(a - b),
-        "sum": a + b,
-        "percent_change": F.try_divide(a - b, F.abs(b)) * 100.0,
-        "ratio": F.try_divide(a, b),
-        "product": a * b,
-    }[name]
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used: a lambda over an array of one."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _relations(a: Column, b: Column) -> Column:
+    """Results of all relations, in their order; null where one isn't defined."""
+    return F.array(a - b, F.abs(a - b), a + b, F.try_divide(a - b, F.abs(b)) * 100.0, F.try_divide(a, b), a * b)
 
 
 def matched_relationship(values: Column, claimed: Column, pct: float) -> Column:
@@ -57,9 +58,11 @@ def matched_relationship(values: Column, claimed: Column, pct: float) -> Column:
     Only the first match is kept while folding, so memory stays that of one pair however many figures there are.
     """
     spots = F.sequence(F.lit(1), F.size(values))
+    names = F.array(*[F.lit(name) for name in RELATIONS])
 
     def pair(a: Column, b: Column) -> Column:
-        return F.coalesce(*[F.when(within_tolerance(claimed, _relation(name, a, b), pct), F.lit(name)) for name in RELATIONS])
+        hits = F.transform(_relations(a, b), lambda y: F.coalesce(within_tolerance(claimed, y, pct), F.lit(False)))
+        return F.get(names, F.array_position(hits, True).cast("int") - 1)
 
     def inner(i: Column):
         return lambda found, j: F.when(found.isNotNull() | (i == j), found).otherwise(pair(F.element_at(values, i), F.element_at(values, j)))
@@ -76,14 +79,23 @@ def numeric_check(passage: Column, answer: Column, pct: float = 1.0) -> Column:
     A claimed value must be found; one figure can only be restated; of several, some pair must be related to it. Null
     passages have no figures, and null answers no claimed value.
     """
-    values, claimed = numbers(passage), claimed_value(answer)
-    direct = (F.size(values) == 1) & within_tolerance(claimed, F.try_element_at(values, F.lit(1)), pct)
-    relation = F.when(claimed.isNull(), None).when(F.size(values) < 2, F.when(direct, F.lit("direct_match"))).otherwise(matched_relationship(values, claimed, pct))
-    reason = (
-        F.when(claimed.isNull(), F.lit("no figure in the answer"))
-        .when(relation == "direct_match", F.lit("restates the only figure"))
-        .when(F.size(values) < 2, F.concat(F.lit("figures in the passage: "), F.size(values).cast("string")))
-        .when(relation.isNotNull(), F.concat(F.lit("matches "), relation))
-        .otherwise(F.lit("no relation of two figures fits"))
-    )
-    return F.struct(relation.isNotNull().alias("pass"), values.alias("numbers"), claimed.alias("claimed"), relation.alias("relationship"), reason.alias("reason"))
+
+    def related(x: Column) -> Column:
+        values, claimed = x["numbers"], x["claimed"]
+        direct = (F.size(values) == 1) & within_tolerance(claimed, F.try_element_at(values, F.lit(1)), pct)
+        relation = F.when(claimed.isNull(), None).when(F.size(values) < 2, F.when(direct, F.lit("direct_match"))).otherwise(matched_relationship(values, claimed, pct))
+        return F.struct(values.alias("numbers"), claimed.alias("claimed"), relation.alias("relationship"))
+
+    def judged(x: Column) -> Column:
+        values, claimed, relation = x["numbers"], x["claimed"], x["relationship"]
+        reason = (
+            F.when(claimed.isNull(), F.lit("no figure in the answer"))
+            .when(relation == "direct_match", F.lit("restates the only figure"))
+            .when(F.size(values) < 2, F.concat(F.lit("figures in the passage: "), F.size(values).cast("string")))
+            .when(relation.isNotNull(), F.concat(F.lit("matches "), relation))
+            .otherwise(F.lit("no relation of two figures fits"))
+        )
+        return F.struct(relation.isNotNull().alias("pass"), values.alias("numbers"), claimed.alias("claimed"), relation.alias("relationship"), reason.alias("reason"))
+
+    read = F.struct(numbers(passage).alias("numbers"), claimed_value(answer).alias("claimed"))
+    return _bound(_bound(read, related), judged)

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
@@ -105,9 +105,10 @@ def keep_first(nodes: DataFrame, pairs: DataFrame, key: str = "id", rounds: int
 
 def deduplicate(qa: DataFrame, embedder: Embedder, by: str = "doc_id", config: Config = DEFAULT) -> DataFrame:
     """Candidates with is_kept, dup_of, cosine and dropped_reason; only questions are compared, within each document."""
-    vectors = embed(qa.select(by, "id", "generation_order", "question"), embedder, "question", "vector", config.embed_batch)
-    vectors = scratch(vectors.select(by, "id", "generation_order", "vector"), "dedup-vectors")
-    pairs = similar_pairs(vectors, config.dedup_above, by, "id", "generation_order", "vector")
+    place = F.row_number().over(Window.partitionBy(by).orderBy("generation_order", "id"))
+    vectors = embed(qa.select(by, "id", place.alias("ord"), "question"), embedder, "question", "vector", config.embed_batch)
+    vectors = scratch(vectors.select(by, "id", "ord", "vector"), "dedup-vectors")
+    pairs = similar_pairs(vectors, config.dedup_above, by)
     marked = keep_first(qa, pairs.drop("g"))
     first = qa.select(F.col("id").alias("dup_of"), F.col("question").alias("_q"))
     reason = F.concat(F.lit("duplicate of id="), "dup_of", F.lit(" (cosine_sim="), F.format_number("cosine", 3), F.lit("): "), "_q")
