@@ -71,6 +71,7 @@ _LEAD = re.compile(r"^(?:answer|antwort|respuesta|réponse|question|q|a)\s*[:.]\
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 
 N_FEATURES = 30
+_LOST = 3  # place of the feature that says that the last clause lost its end
 
 
 @dataclass
@@ -151,6 +152,7 @@ class ChainField:
     def tag(self, clauses_: np.ndarray, lengths: list[int]) -> list[np.ndarray]:
         """Most likely tags of each sequence of clauses, by Viterbi; sequences stand one after another."""
         scores = clauses_ @ self.emission
+        scores[clauses_[:, _LOST] == 0, UNFINISHED] = -1e9  # only a lost end leaves a clause unfinished
         best = scores.argmax(axis=1)
         out, at = [], 0
         for n in lengths:

@@ -257,16 +257,42 @@ def answer_verdicts(answers: DataFrame) -> DataFrame:
     return joined.where(lost).select("id").distinct()
 
 
+def _compared_units(text: str) -> Iterator[str]:
+    """Units as they are compared. A table row comes with the row before it, which tells tables with like rows apart."""
+    before = None
+    for line in text.split("\n"):
+        if "|" in line:
+            row = _normal(line)
+            yield row
+            if before is not None:
+                yield f"{before}\n{row}"
+            before = row
+        else:
+            before = None
+            for unit in units(line):
+                yield _normal(unit)
+
+
+def _asked_unit(text: str) -> str:
+    """The last unit of a passage, as it is compared."""
+    lines = [x for x in text.split("\n") if x.strip()]
+    if "|" in lines[-1] and len(lines) > 1 and "|" in lines[-2]:
+        return f"{_normal(lines[-2])}\n{_normal(lines[-1])}"
+    return _normal(_last_unit(text))
+
+
 def _source_units(chunks: DataFrame, tables: DataFrame) -> DataFrame:
     """Units of all sources, whole."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = {_normal(u) for text in batch.column(0).to_pylist() if text for u in units(text)}
+            found = {u for text in batch.column(0).to_pylist() if text for u in _compared_units(text)}
             yield pa.RecordBatch.from_arrays([pa.array([u for u in found if len(u) >= LEAST_UNIT], pa.string())], ["unit"])
 
-    rows = tables.select(F.explode("cell_rows").alias("r")).select(F.array_join("r", " | ", "").alias("text"))
-    return chunks.select("text").unionByName(rows).mapInArrow(split, "unit string")
+    rows = F.transform("cell_rows", lambda r: F.array_join(r, " | ", ""))
+    header = F.array(F.array_join("col_names", " | ", "")) if "col_names" in tables.columns else F.expr("cast(array() as array<string>)")
+    grids = tables.select(F.array_join(F.concat(F.coalesce(header, F.array(F.lit(""))), rows), "\n").alias("text"))
+    return chunks.select("text").unionByName(grids).mapInArrow(split, "unit string")
 
 
 def _normal(unit: str) -> str:
@@ -312,7 +338,7 @@ def _compared(unit: str, there: bool, following: str) -> int | None:
 
 
 def passage_verdicts(passages: DataFrame, chunks: DataFrame, tables: DataFrame) -> DataFrame:
-    """ids of passages that lost their end. Input: id, text; chunks: text; tables: cell_rows."""
+    """ids of passages that lost their end. Input: id, text; chunks: text; tables: cell_rows and, if there, col_names."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,7 +350,7 @@ def passage_verdicts(passages: DataFrame, chunks: DataFrame, tables: DataFrame)
                 if damaged(text):
                     rows.append((k, True, None, LOST))
                     continue
-                unit = _normal(_last_unit(text))
+                unit = _asked_unit(text)
                 rows.append((k, None, unit if len(unit) >= LEAST_UNIT else None, passage_form(text)))
             cols = list(zip(*rows)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [batch.schema.field(0).type, pa.bool_(), pa.string(), pa.int32()])], ["id", "sure", "unit", "shape"])
