@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import table
 
 RUN = 30
-GEAR_WORDS = 8
+GEAR_WORDS = 12
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
