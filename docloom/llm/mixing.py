@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table
@@ -92,8 +92,6 @@ def mix(docs: DataFrame, targets: list[tuple[str, float, int]], key: str = "doc_
     planned = items.join(F.broadcast(spark.createDataFrame(plan, schema)), "source")
     clear = planned.where("bucket <> last").withColumn("copies", F.col("whole") + (F.col("bucket") < F.col("last")).cast("int"))
     # One bucket in BUCKETS of each source is cut at a record: the running size decides, within that bucket alone.
-    from pyspark.sql import Window
-
     running = F.sum("size").over(Window.partitionBy("source").orderBy("h", key).rowsBetween(Window.unboundedPreceding, 0))
     edge = planned.where("bucket = last").withColumn("running", running)
     # The record on the edge is taken if that brings the source nearer to its size.
@@ -108,8 +106,9 @@ def reached(chosen: DataFrame, shares: list[Share], size: str = "n_tokens") -> D
     aims = spark.createDataFrame([(s.source, float(s.target_share), int(s.max_repeats), int(s.available)) for s in shares], "source string, target_share double, max_repeats int, available_tokens long")
     per = chosen.groupBy("source").agg(F.sum(F.col(size) * F.col("copies")).alias("tokens"), F.count("*").alias("n_records"), F.max("copies").alias("most_copies"))
     out = F.broadcast(aims).join(per, "source", "left").na.fill(0, ["tokens", "n_records", "most_copies"])
-    whole = per.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("all_tokens"))
-    return out.join(F.broadcast(whole), how="cross").withColumn("actual_share", F.when(F.col("all_tokens") > 0, F.round(F.col("tokens") / F.col("all_tokens"), 6))).drop("all_tokens")
+    # One row for each listed source: a window over all of them is as small as the list.
+    whole = F.sum("tokens").over(Window.partitionBy(F.lit(0)))
+    return out.withColumn("actual_share", F.when(whole > 0, F.round(F.col("tokens") / whole, 6)))
 
 
 def _targets(spark: SparkSession, sf_dir: str) -> list[tuple[str, float, int]]:

@@ -98,11 +98,13 @@ def close_classes(classes: DataFrame, threshold: tuple[int, int] = THRESHOLD, ra
     rares = rare.groupBy("cid").agg(F.count("*").alias("r"), F.collect_set("w").alias("rare_words"))
     profile = classes.join(rares, "cid", "left").withColumn("r", F.coalesce("r", F.lit(0)).cast("int"))
     sizes = profile.groupBy("n").agg(F.min("r").alias("least"))
+    # Sizes a partner may have, each looked up by equality; sizes are as few as the lengths of a question.
+    partner = F.explode(F.sequence(F.ceil(F.col("n") * num / F.lit(den)).cast("int"), F.floor(F.col("n") * den / F.lit(num)).cast("int")))
     reach = (
-        sizes.alias("s")
-        .join(sizes.alias("o"), (F.col("s.n") * den >= F.col("o.n") * num) & (F.col("o.n") * den >= F.col("s.n") * num))
-        .groupBy(F.col("s.n").alias("n"))
-        .agg(F.max(_budget(F.col("s.n") + F.col("o.n"), threshold) - F.col("o.least")).alias("most"))
+        sizes.select("n", partner.alias("o"))
+        .join(sizes.select(F.col("n").alias("o"), "least"), "o")
+        .groupBy("n")
+        .agg(F.max(_budget(F.col("n") + F.col("o"), threshold) - F.col("least")).alias("most"))
     )
     lonely = (
         profile.join(reach, "n")

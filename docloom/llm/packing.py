@@ -107,7 +107,8 @@ def pack(df: DataFrame, key: str = "doc_id", size: str = "n_tokens", capacity: i
 
     # A stable order within the shard: blocks by hash, and in each block the large items first, so small ones fill gaps.
     dealt = items.select(F.col(key).alias("k"), "size", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(shards)).alias("shard"), F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(4)).alias("block"))
-    ordered = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "block", F.col("size").desc(), "k")
+    # A partition may hold several shards, one after another; how many there are is left to the session.
+    ordered = dealt.repartition("shard").sortWithinPartitions("shard", "block", F.col("size").desc(), "k")
     return ordered.select("k", "size", "shard").mapInPandas(run, f"k {kind}, piece_index int, container long, offset long, size long").withColumnRenamed("k", key)
 
 

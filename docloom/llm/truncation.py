@@ -233,6 +233,8 @@ def answer_verdicts(answers: DataFrame) -> DataFrame:
                 tokens = _tokens(bare, openers)
                 if stop and not (tokens and (tokens[-1][-1:].isdigit() or _ABBREVIATION.search(text))):
                     continue  # ends in a stop after a word
+                if len(tokens) < 2 or all(t.startswith("X") for t in tokens):
+                    tokens = []  # a single word or a mere name has no form of its own
                 rows.append((k, None, _key(tokens, len(tokens)) if tokens else None, _tail_key(tokens, len(tokens)) if tokens else None, _key(tokens, len(tokens) - 1) if len(tokens) > 1 else None, answer_form(text), stop))
             cols = list(zip(*rows)) if rows else [[]] * 7
             types = [batch.schema.field(0).type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
@@ -383,7 +385,7 @@ def p1_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     qa = table(spark, sf_dir, "generated_qa")
     lost = p1_found(spark, sf_dir)
     values = qa.select("id", "feed", F.explode(F.array(F.struct(F.lit("source_passage").alias("field_name"), F.col("source_passage").alias("v")), F.struct(F.lit("answer").alias("field_name"), F.col("answer").alias("v")))).alias("e")).select("id", "feed", "e.field_name", "e.v")
-    values = values.where("v is not null and v rlike '[\\\\p{L}\\\\p{N}]'").select("id", "field_name", "feed").groupBy("id", "field_name").agg(F.min("feed").alias("feed"))
+    values = values.where(F.col("v").rlike(r"[\p{L}\p{N}]") & ~F.lower(F.trim("v")).isin(*sorted(PLACEHOLDERS))).select("id", "field_name", "feed").groupBy("id", "field_name").agg(F.min("feed").alias("feed"))
     flagged = values.join(lost.withColumn("lost", F.lit(1)), ["id", "field_name"], "left")
     return flagged.groupBy("feed").agg(F.count("*").alias("n_values"), F.coalesce(F.sum("lost"), F.lit(0)).alias("n_lost")).withColumn("lost_share", F.round(F.col("n_lost") / F.col("n_values"), 6))
 
