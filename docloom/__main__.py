@@ -1,23 +1,31 @@
-"""Command line: ``python -m docloom PAGES OUT [--skip-verification] [--format csv|jsonl]``, with offline providers."""
+"""Command line: ``python -m docloom PAGES OUT``, with offline providers; ``--url`` fetches a page into PAGES first."""
 
 from __future__ import annotations
 
 import argparse
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from .config import DEFAULT
 from .plans.pipeline import run
-from .sources.files import read_pages
+from .sources.files import fetch_page, read_pages
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="docloom", description="Turn HTML filings into verified questions and answers.")
     parser.add_argument("pages", help="folder of HTML files")
     parser.add_argument("out", help="folder for the output")
-    parser.add_argument("--skip-verification", action="store_true")
+    parser.add_argument("--skip-verification", action="store_true", help="keep all candidates unchecked")
     parser.add_argument("--format", choices=["csv", "jsonl"], default=DEFAULT.output_format)
+    parser.add_argument("--url", help="page to fetch into the folder, unless it is there")
+    parser.add_argument("--ticker", default="page")
+    parser.add_argument("--accession", default="0")
+    parser.add_argument("--agent", default="", help="user agent that names you")
+    parser.add_argument("--force-refetch", action="store_true", help="fetch even if the page is there")
     given = parser.parse_args(argv)
+    if given.url:
+        fetch_page(given.url, Path(given.pages), given.ticker, given.accession, given.agent, given.force_refetch)
     spark = SparkSession.builder.appName("docloom").getOrCreate()
     run(read_pages(spark, given.pages), skip_verify=given.skip_verification, out_path=given.out, config=DEFAULT.with_(output_format=given.format))
 

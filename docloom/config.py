@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import os
 from dataclasses import dataclass, replace
@@ -50,6 +51,12 @@ class Config:
         """From a flat mapping; unknown names raise, so misspelt settings don't pass silently."""
         return cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in values.items()})
 
+    @classmethod
+    def load(cls, path: str) -> Config:
+        """From a JSON file with a flat object."""
+        with open(path, encoding="utf-8") as file:
+            return cls.from_mapping(json.load(file))
+
 
 DEFAULT = Config()
 

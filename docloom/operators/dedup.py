@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -12,26 +9,13 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..sources.providers import Embedder
+from ..storage import materialize
 from .verification import embed
 
 #: Vectors that one task compares with as many others.
 BLOCK_ROWS = 4000
 
 
-def scratch(df: DataFrame, label: str) -> DataFrame:
-    """Written once to the folder that ``spark.checkpoint.dir`` names and read back."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        import tempfile
-
-        folder = tempfile.mkdtemp(prefix="docloom-")
-        spark.sparkContext.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/docloom/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def similar_pairs(vectors: DataFrame, above: float, group: str | None = None, key: str = "id", order: str = "ord", vector: str = "vector", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Pairs (group, a, b, cosine) of one group, a before b in ``order``, whose cosine is strictly above the threshold.
 
@@ -50,28 +34,25 @@ def similar_pairs(vectors: DataFrame, above: float, group: str | None = None, ke
 
     def compare(place: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         g, x, y = place
-        frame = frame.sort_values(["o", "k"], kind="stable")
-        one, two = frame[frame["mine"] == x], frame[frame["mine"] == y]
-        unit = []
-        for part in (one, two):
-            m = np.stack(part["v"].to_list()).astype(np.float64) if len(part) else np.zeros((0, 1))
-            length = np.linalg.norm(m, axis=1, keepdims=True)
-            unit.append(np.divide(m, length, out=np.zeros_like(m), where=length > 0))
+        frame = frame.sort_values(["o", "k"], kind="stable", ignore_index=True)
+        mine = frame["mine"].to_numpy()
+        one, two = np.flatnonzero(mine == x), np.flatnonzero(mine == y)
         if not len(one) or not len(two):
             return pd.DataFrame(columns=names)
-        out = []
+        vectors_ = np.stack(frame["v"].to_list()).astype(np.float64)
+        length = np.linalg.norm(vectors_, axis=1, keepdims=True)
+        unit = np.divide(vectors_, length, out=np.zeros_like(vectors_), where=length > 0)
+        found = []
         step = 1024
         for i in range(0, len(one), step):
-            c = unit[0][i : i + step] @ unit[1].T
+            c = unit[one[i : i + step]] @ unit[two].T
             r, s = np.nonzero(c > above)
-            for p, q in zip(r + i, s):
-                left, right = one.iloc[p], two.iloc[q]
-                if x == y and q <= p:
-                    continue
-                if (right["o"], right["k"]) < (left["o"], left["k"]):
-                    left, right = right, left
-                out.append((g, left["k"], right["k"], left["o"], right["o"], float(c[p - i, q])))
-        return pd.DataFrame(out, columns=names)
+            left, right = one[r + i], two[s]
+            fresh = left < right if x == y else np.ones(len(left), bool)
+            found.append((np.minimum(left, right)[fresh], np.maximum(left, right)[fresh], c[r, s][fresh]))
+        first, second, cosines = (np.concatenate(p) for p in zip(*found))
+        a, b = frame.iloc[first], frame.iloc[second]
+        return pd.DataFrame({"g": g, "a": a["k"].to_numpy(), "b": b["k"].to_numpy(), "a_ord": a["o"].to_numpy(), "b_ord": b["o"].to_numpy(), "cosine": cosines})
 
     return placed.groupBy("g", "x", "y").applyInPandas(compare, schema)
 
@@ -83,14 +64,14 @@ def keep_first(nodes: DataFrame, pairs: DataFrame, key: str = "id", rounds: int
     dropped is kept, and one with a kept earlier neighbour is dropped; decisions are written to the shared folder.
     dup_of is the first kept neighbour in order.
     """
-    edges = scratch(pairs.select("a", "b", "a_ord", "cosine"), "dedup-edges")
+    edges = materialize(pairs.select("a", "b", "a_ord", "cosine"), "dedup-edges")
     undecided = edges.select(F.col("b").alias("n")).distinct()
-    state = scratch(edges.select(F.col("a").alias("n")).distinct().join(undecided, "n", "left_anti").select("n", F.lit(True).alias("kept")), "dedup-state")
+    state = materialize(edges.select(F.col("a").alias("n")).distinct().join(undecided, "n", "left_anti").select("n", F.lit(True).alias("kept")), "dedup-state")
     for _ in range(rounds):
         known = edges.join(state.select(F.col("n").alias("b")), "b", "left_anti").join(state.select(F.col("n").alias("a"), "kept"), "a", "left")
         verdict = known.groupBy(F.col("b").alias("n")).agg(F.bool_or(F.coalesce("kept", F.lit(False))).alias("hit"), F.bool_and(F.coalesce(~F.col("kept"), F.lit(False))).alias("clear"))
         decided = verdict.where("hit or clear").select("n", (~F.col("hit")).alias("kept"))
-        grown = scratch(state.unionByName(decided), "dedup-state")
+        grown = materialize(state.unionByName(decided), "dedup-state")
         before, state = state, grown
         if grown.count() == before.count():
             break
@@ -107,7 +88,7 @@ def deduplicate(qa: DataFrame, embedder: Embedder, by: str = "doc_id", config: C
     """Candidates with is_kept, dup_of, cosine and dropped_reason; only questions are compared, within each document."""
     place = F.row_number().over(Window.partitionBy(by).orderBy("generation_order", "id"))
     vectors = embed(qa.select(by, "id", place.alias("ord"), "question"), embedder, "question", "vector", config.embed_batch)
-    vectors = scratch(vectors.select(by, "id", "ord", "vector"), "dedup-vectors")
+    vectors = materialize(vectors.select(by, "id", "ord", "vector"), "dedup-vectors")
     pairs = similar_pairs(vectors, config.dedup_above, by)
     marked = keep_first(qa, pairs.drop("g"))
     first = qa.select(F.col("id").alias("dup_of"), F.col("question").alias("_q"))

@@ -1 +1 @@
-
+"""Operators put together: the pipeline and the queries."""

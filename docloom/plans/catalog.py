@@ -21,8 +21,9 @@ def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "chunks").select("filing_id", "chunk_id", "heading_path", "part", "item", "text", "order_index").dropDuplicates(["chunk_id"])
 
 
-def _qa(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "generated_qa").drop("loaded_at").dropDuplicates(["id"])
+def _qa(spark: SparkSession, sf_dir: str, only: str = "true") -> DataFrame:
+    """Each pair once. A condition goes before the deduplication, so that it reaches the scan."""
+    return _read(spark, sf_dir, "generated_qa").where(only).drop("loaded_at").dropDuplicates(["id"])
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +31,7 @@ def _tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_numeric_check(spark, sf_dir):
-    qa = _qa(spark, sf_dir).where("question_type = 'numeric_calculation'")
+    qa = _qa(spark, sf_dir, "question_type = 'numeric_calculation'")
     checked = qa.select("id", numeric.numeric_check(F.col("source_passage"), F.col("answer")).alias("c"))
     return checked.select("id", F.col("c.pass").alias("passed"), F.round("c.claimed", 6).alias("claimed"), F.col("c.relationship").alias("relationship"), F.size("c.numbers").alias("n_numbers"))
 
@@ -227,7 +228,7 @@ def q_dedup_questions(spark, sf_dir):
     """Questions of each filing, with hashed word vectors."""
     from ..sources.providers import HashingEmbedder
 
-    qa = _qa(spark, sf_dir).where("question is not null").select(F.col("filing_id").alias("doc_id"), "id", "question", F.col("id").alias("generation_order"))
+    qa = _qa(spark, sf_dir, "question is not null").select(F.col("filing_id").alias("doc_id"), "id", "question", F.col("id").alias("generation_order"))
     return dedup.deduplicate(qa, HashingEmbedder()).select("id", "is_kept", "dup_of")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..config import DEFAULT, Config, logger
 from ..operators.chunking import chunk_pages
-from ..operators.dedup import deduplicate, scratch
+from ..operators.dedup import deduplicate
 from ..operators.generation import checked_candidates, chunk_groups, generate
 from ..operators.labels import output_rows
 from ..operators.tables import extract_tables, table_passages
@@ -16,6 +16,7 @@ from ..operators.verification import skip_verification, verify
 from ..sources.files import write_output
 from ..sources.html import scan_pages
 from ..sources.providers import Completion, Embedder, HashingEmbedder, OfflineGenerator, OfflineVerifier
+from ..storage import materialize
 
 
 class EmptyStage(RuntimeError):
@@ -34,7 +35,7 @@ class Result:
 
 def passages(pages: DataFrame, config: Config = DEFAULT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Chunks, tables, and both as passages to generate from. Pages are parsed once, to the shared folder."""
-    scanned = scratch(scan_pages(pages), "blocks")
+    scanned = materialize(scan_pages(pages), "blocks")
     chunks = chunk_pages(scanned, config)
     tables = extract_tables(scanned, config)
     return chunks, tables, chunks.unionByName(table_passages(tables))
@@ -47,18 +48,18 @@ def run(pages: DataFrame, generator: Completion | None = None, verifier: Complet
     """
     generator, verifier, embedder = generator or OfflineGenerator(), verifier or OfflineVerifier(), embedder or HashingEmbedder()
     chunks, tables, both = passages(pages, config)
-    raw = scratch(generate(chunk_groups(scratch(both, "passages"), config=config), generator, config=config), "generated")
-    candidates = scratch(checked_candidates(raw, config=config), "candidates")
+    raw = materialize(generate(chunk_groups(materialize(both, "passages"), config=config), generator, config=config), "generated")
+    candidates = materialize(checked_candidates(raw, config=config), "candidates")
     if candidates.isEmpty():
         raise EmptyStage("no candidate passed the check of its quotation")
-    verified = scratch(skip_verification(candidates) if skip_verify else verify(candidates, verifier, embedder, config), "verified")
+    verified = materialize(skip_verification(candidates) if skip_verify else verify(candidates, verifier, embedder, config), "verified")
     kept = verified.where("keep")
     if kept.isEmpty():
         raise EmptyStage("no candidate passed verification")
     marked = deduplicate(kept, embedder, config=config)
     output = output_rows(marked.where("is_kept"))
     if out_path:
-        output = scratch(output, "output")
+        output = materialize(output, "output")
         n = output.count()
         if n < config.min_rows:
             logger(__name__).warning("only %d rows, %d were aimed at", n, config.min_rows)

@@ -12,9 +12,10 @@ import math
 import re
 import time
 from collections.abc import Callable
+from functools import lru_cache
 from typing import Protocol
 
-from ..config import DEFAULT, Config, logger, require_env
+from ..config import logger, require_env
 
 
 class Completion(Protocol):
@@ -42,6 +43,23 @@ class ChatEndpoint:
             return json.load(reply)["choices"][0]["message"]["content"] or ""
 
 
+class EmbeddingEndpoint:
+    """Embeddings from an endpoint that speaks the common protocol over HTTP; vectors are scaled to unit length."""
+
+    def __init__(self, base_url: str, model: str, key_variable: str, dimension: int = 384, timeout_s: float = 60.0):
+        self.base_url, self.model, self.key_variable, self.dimension, self.timeout_s = base_url.rstrip("/"), model, key_variable, dimension, timeout_s
+
+    def embed(self, texts: list[str]) -> list[list[float]]:
+        from urllib.request import Request, urlopen
+
+        if not texts:
+            return []
+        request = Request(f"{self.base_url}/embeddings", json.dumps({"model": self.model, "input": texts}).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {require_env(self.key_variable)}"})
+        with urlopen(request, timeout=self.timeout_s) as reply:
+            found = [x["embedding"] for x in sorted(json.load(reply)["data"], key=lambda x: x["index"])]
+        return [[x / norm for x in v] if (norm := math.sqrt(sum(x * x for x in v))) else v for v in found]
+
+
 def complete_with_retry(provider: Completion, system: str, user: str, retries: int = 3, backoff_s: float = 3.0, sleep: Callable[[float], None] = time.sleep) -> str | None:
     """The reply, or None after ``retries`` failures; the wait grows with each attempt."""
     for attempt in range(1, retries + 1):
@@ -81,6 +99,11 @@ class OfflineVerifier:
         return json.dumps({"matches_claimed_answer": good, "confidence": "high" if figures else "medium", "reason": "figures and words compared"})
 
 
+@lru_cache(maxsize=100_000)
+def _word_digest(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+
+
 class HashingEmbedder:
     """Unit vectors of hashed words."""
 
@@ -92,7 +115,7 @@ class HashingEmbedder:
         for text in texts:
             vector = [0.0] * self.dimension
             for word in re.findall(r"\w+", (text or "").lower()):
-                digest = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+                digest = _word_digest(word)
                 vector[digest % self.dimension] += 1.0 if digest >> 63 else -1.0
             norm = math.sqrt(sum(x * x for x in vector))
             out.append([x / norm for x in vector] if norm else vector)
@@ -137,6 +160,3 @@ def split_prompt(template: str) -> tuple[str, str]:
     system, user = template.split("USER:", 1)
     return system.replace("SYSTEM:", "", 1).replace("{{", "{").replace("}}", "}").strip(), user.strip()
 
-
-def for_config(config: Config = DEFAULT) -> dict[str, float]:
-    return {"temperature": config.generation_temperature, "max_tokens": config.generation_max_tokens}

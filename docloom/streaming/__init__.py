@@ -1 +1 @@
-
+"""The page stages on streams, an extension."""

@@ -124,6 +124,8 @@ def test_fetch(tmp_path):
         require_env("DOCLOOM_NOT_SET")
     with pytest.raises(TypeError):
         Config.from_mapping({"misspelt": 1})
+    (tmp_path / "config.json").write_text('{"min_rows": 5, "question_types": ["comparison"]}')
+    assert Config.load(str(tmp_path / "config.json")) == Config(min_rows=5, question_types=("comparison",))
 
 
 def test_streams(spark, tmp_path):
