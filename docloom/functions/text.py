@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 BLANK = r"[\s\x1c-\x1f\x85   -     　]"
 
 
+BLANKS = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def strip(text: Column) -> Column:
     """Without blanks of any kind at either end."""
-    return F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def words(text: Column) -> Column:

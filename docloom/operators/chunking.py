@@ -19,9 +19,10 @@ def heading_level(text: Column, bold_ul: Column, italic: Column, config: Config
     A styled heading has fewer words than the limit and doesn't end in a stop, comma or semicolon.
     """
     plain = strip(text)
-    short = (F.length(plain) > 0) & (F.size(words(text)) < config.heading_words_below) & ~F.substring(plain, -1, 1).isin(*".!?;,")
+    # Cheap conditions first: words are only counted where the style and the end are those of a heading.
+    short = (bold_ul | italic) & (F.length(plain) > 0) & ~F.substring(plain, -1, 1).isin(*".!?;,") & (F.size(words(text)) < config.heading_words_below)
     capitals = plain.rlike(r"\p{L}") & ~plain.rlike(r"[\p{L}&&[^\p{Lu}]]")
-    return F.when(text.rlike(PART), 0).when(text.rlike(ITEM), 1).when(short & bold_ul & capitals, 2).when(short & (bold_ul | italic), 3)
+    return F.when(text.rlike(PART), 0).when(text.rlike(ITEM), 1).when(bold_ul & short & capitals, 2).when(short, 3)
 
 
 def with_heading_state(blocks: DataFrame, by: str = "doc_id", order: str = "pos") -> DataFrame:
@@ -61,21 +62,21 @@ def pack_paragraphs(text: Column, config: Config = DEFAULT) -> Column:
 
     A piece's size is the sum of its lines' own (rounded) estimates; a line over the target is kept whole.
     """
-    lines = F.filter(F.transform(F.split(text, "\n", -1), strip), lambda p: F.length(p) > 0)
+    size_of = lambda t: token_estimate(t, config.tokens_per_word)
+    lines = F.transform(F.filter(F.transform(F.split(text, "\n", -1), strip), lambda p: F.length(p) > 0), lambda p: F.struct(p.alias("line"), size_of(p).alias("size")))
     start = F.struct(F.expr("cast(array() as array<string>)").alias("done"), F.lit("").alias("current"), F.lit(0).alias("size"))
 
-    def add(acc: Column, line: Column) -> Column:
-        size = token_estimate(line, config.tokens_per_word)
-        flush = (F.length(acc["current"]) > 0) & (acc["size"] + size > config.target_tokens)
+    def add(acc: Column, item: Column) -> Column:
+        empty = F.length(acc["current"]) == 0
+        flush = ~empty & (acc["size"] + item["size"] > config.target_tokens)
         return F.struct(
             F.when(flush, F.array_append(acc["done"], acc["current"])).otherwise(acc["done"]).alias("done"),
-            F.when(flush | (F.length(acc["current"]) == 0), line).otherwise(F.concat_ws("\n", acc["current"], line)).alias("current"),
-            F.when(flush, size).otherwise(acc["size"] + size).alias("size"),
+            F.when(flush | empty, item["line"]).otherwise(F.concat_ws("\n", acc["current"], item["line"])).alias("current"),
+            F.when(flush, item["size"]).otherwise(acc["size"] + item["size"]).alias("size"),
         )
 
-    packed = F.aggregate(lines, start, add, lambda acc: F.when(F.length(acc["current"]) > 0, F.array_append(acc["done"], acc["current"])).otherwise(acc["done"]))
-    whole = (token_estimate(text, config.tokens_per_word) <= config.max_tokens) | (F.size(lines) == 0)
-    return F.when(whole, F.array(text)).otherwise(packed)
+    packed = F.aggregate(lines, start, add, lambda acc: F.when(F.length(acc["current"]) > 0, F.array_append(acc["done"], acc["current"])).otherwise(F.array(text)))
+    return F.when(size_of(text) <= config.max_tokens, F.array(text)).otherwise(packed)
 
 
 def split_long(parts: DataFrame, by: str = "doc_id", order: str = "section", config: Config = DEFAULT) -> DataFrame:
