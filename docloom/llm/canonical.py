@@ -37,7 +37,7 @@ LOOK_ALIKES = {
 }
 # Signs that differ to the eye and so must never be mapped.
 KEPT_APART = "¹²³⁰⁴⁵⁶⁷⁸⁹₀₁₂₃₄₅₆₇₈₉ªºıȷ‘’‚‛“”„‟'\"–—―−«»‹›…•·"
-_INVISIBLE_EXTRA = "͏ᅟᅠ឴឵᠋᠌᠍᠎ㅤﾠ"
+_INVISIBLE_EXTRA = "\u034f\u115f\u1160\u17b4\u17b5\u180b\u180c\u180d\u180e\u3164\uffa0"
 
 
 class MappingConflict(ValueError):

@@ -2,50 +2,37 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..storage import materialize, shared_dir
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a local one is set only where the session has none (tests)."""
-    there = spark.conf.get("spark.checkpoint.dir", None)
-    if there:
-        return there
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    import tempfile
+__all__ = ["materialize", "shared_dir", "slices", "spread_sample", "table"]
 
-    made = tempfile.mkdtemp(prefix="docloom-")
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+SLICE_BYTES = 8 << 20
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back, so lineage is cut and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/docloom/{label}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` over single batches; ``fn`` gets a batch and yields batches."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from fn(batch)
+def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``most`` bytes of text, so that work space doesn't grow with the texts' lengths.
 
-    return df.mapInArrow(run, schema)
+    A longer text makes a slice of its own; an empty batch gives none.
+    """
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.cumsum(sizes) // most
+    start = 0
+    while start < len(part):
+        end = max(start + 1, int(np.searchsorted(part, part[start], side="right")))
+        yield batch.slice(start, end - start)
+        start = end
 
 
 def spread_sample(df: DataFrame, key: str, limit: int) -> DataFrame:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import slices, table
 
 RUN = 30
 GEAR_WORDS = 12
@@ -141,7 +141,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _chunk_digests(df: DataFrame, run: int) -> DataFrame:
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             owners, rids = (batch.column(i).to_numpy() for i in (0, 1))
             flat, starts, which = _word_hashes(batch.column(2).to_pylist(), run)
             a, b = chunk_bounds(flat, starts, run)
@@ -157,7 +157,7 @@ def _run_digests(df: DataFrame, run: int) -> DataFrame:
     """Digest of each run of ``run`` words that holds a whole shared chunk (``places``) of its text."""
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 3)):
             kinds, ids, owners, texts, places = (batch.column(i) for i in range(5))
             flat, starts, which = _word_hashes(texts.to_pylist(), run)
             sums, inverses = _polynomial_prefix(flat)

@@ -50,8 +50,8 @@ def boundary_strengths(text: str, spans: list[tuple[int, int]]) -> bytearray:
         start, end = spans[i]
         nxt, nxt_end = spans[i + 1]
         gap = text[end:nxt]
-        if "\n" in gap or "\r" in gap or " " in gap or " " in gap:
-            breaks = gap.count("\n") or gap.count("\r") + gap.count(" ") + 2 * gap.count(" ")
+        if "\n" in gap or "\r" in gap or "\u2028" in gap or "\u2029" in gap:
+            breaks = gap.count("\n") or gap.count("\r") + gap.count("\u2028") + 2 * gap.count("\u2029")
             out[i] = PARAGRAPH if breaks > 1 else LINE
             continue
         last = text[end - 1]

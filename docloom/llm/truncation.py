@@ -40,13 +40,13 @@ OPENERS, OPENER_SHARE = 500, 0.0007
 PLACEHOLDERS = frozenset(["n/a", "na", "tbd", "tba", "null", "nil", "nan", "none given", '""', "''", "<blank>", "<empty>", "<none>", "<null>", "[answer]", "[blank]", "[empty]", "[no answer]", "<answer>", "{answer}", "answer:", "answer", "antwort:", "respuesta:", "réponse:", "a:", "todo", "xxx", "???", "placeholder", "lorem ipsum", "(blank)", "(empty)", "#n/a", "undefined"])
 # Words that can't end a sentence, entry or figure.
 OPEN_WORDS = frozenset(
-    "a an the of in on at by for from to with without and or nor but as than that which whose whom who is are was were be been has have had its their our his her into under over against between during per about after before because while whereas if when where this these those not some any each of_the versus vs i.e e.g approx no "
+    "a an the of in on at by for from to with without and or nor but as than that which whose whom who is are was were be been has have had its their our his her into under over against between during per about after before because while whereas if when where this these those each versus vs i.e e.g approx "
     "el la los las un una de del en con por para y o que se su sus al como más entre sobre desde "
-    "der die das den dem des ein eine einen einem einer und oder von vom zum zur mit für bei am im auf aus nach wobei während nicht als "
+    "der die das den dem des ein eine einen einem einer und oder von vom zum zur mit für bei am im auf aus nach wobei während als "
     "le les des du et ou dans avec pour par sur au aux une est contre plus".split()
 )
-_INVISIBLE = re.compile("[­͏​-‏⁠﻿]")
-_DEBRIS = re.compile(r"(?:�+|&(?:#?[A-Za-z0-9]{1,8};?)?|[^\W\d_]%[0-9A-Fa-f]{0,2}|(?:%[0-9A-Fa-f]{2})+%?|</?[A-Za-z][^<>]*|</?|\\(?:u[0-9A-Fa-f]{0,4}|x[0-9A-Fa-f]{0,2}|n)?|=[0-9A-F]{2}|=\r?)$")
+_INVISIBLE = re.compile("[\u00ad\u034f\u200b-\u200f\u2060\ufeff]")
+_DEBRIS = re.compile(r"(?:\ufffd+|&(?:#?[A-Za-z0-9]{1,8};?)?|[^\W\d_]%[0-9A-Fa-f]{0,2}|(?:%[0-9A-Fa-f]{2})+%?|</?[A-Za-z][^<>]*|</?|\\(?:u[0-9A-Fa-f]{0,4}|x[0-9A-Fa-f]{0,2}|n)?|=[0-9A-F]{2}|=\r?)$")
 _MARK = re.compile(r"(?:\.\.\.+|…|\. \. \.|\[(?:\.{3}|…|cont[^\]]*|more|truncated)\]|\((?:\.{3}|…|cont[^)]*|more|truncated)\)|(?:to be )?continued|>>+|-->|→|[ \n]cont(?:inued|['’]d|\.)?)\s*$", re.IGNORECASE)
 _TERMINAL = re.compile(r"[.!?。][\"'”’»)\]]*$")
 _CLOSERS = "\"'”’»)]"
@@ -67,7 +67,7 @@ def content(value: str | None) -> str:
     if not value:
         return ""
     text = _INVISIBLE.sub("", value).strip()
-    if text.lower() in PLACEHOLDERS or not any(c.isalnum() or c in "$€£�" for c in text):
+    if text.lower() in PLACEHOLDERS or not any(c.isalnum() or c in "$€£\ufffd" for c in text):
         return ""
     return text
 
@@ -169,7 +169,7 @@ def answer_form(text: str) -> int:
     if _FIGURE.match(text):
         return WHOLE
     words = last.split()
-    if words[-1].lower().strip("(") in OPEN_WORDS or text[-1] in ",:-–—(/&+=$" or _BROKEN_NUMBER.search(text) or text.count("(") > text.count(")"):
+    if (len(words) > 1 and words[-1].lower().strip("(") in OPEN_WORDS) or text[-1] in ",:-–—(/&+=$" or _BROKEN_NUMBER.search(text) or text.count("(") > text.count(")"):
         return LOST
     return WHOLE
 

@@ -24,7 +24,7 @@ def test_forms():
     assert passage_form("It rose by $301.") == passage_form("covered by permit No.") == passage_form("rose by $5.1 million for fiscal") == 1
     assert passage_form("It rose to $12,337,114.") == passage_form("A did so;") == passage_form("Tax | 1,200 | 5\nNet | 3,100 | ") == 0
     assert passage_form("Tax | 1,200 | 5\nNet | 3,100") == passage_form("Tax | 1,20") == 1
-    assert answer_form("Lower") == answer_form("$5.1 million") == 0 and answer_form("It was lower than the") == 1
+    assert answer_form("Lower") == answer_form("No") == answer_form("$5.1 million") == 0 and answer_form("It was lower than the") == 1
 
 
 def test_lost_ends(spark):
