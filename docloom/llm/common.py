@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``most`` bytes of text, so that work space doesn't grow with the texts' lengths.
 
-    A longer text makes a slice of its own; an empty batch gives none.
+    A slice is larger than that by one text at most; an empty batch gives none.
     """
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     part = np.cumsum(sizes) // most

@@ -59,3 +59,16 @@ def test_a_text_in_most_records(spark):
     text = " ".join(f"c{i}" for i in range(50))
     rows = [("chunk", f"r{i}", i % 3, text, "") for i in range(300)]
     assert shared_runs(spark.createDataFrame(rows, SCHEMA)).select("record_id").distinct().count() == 300
+
+
+def test_slices_keep_all_rows_in_order():
+    import pyarrow as pa
+
+    from docloom.llm.common import slices
+
+    texts = ["a" * n for n in (3, 0, 50, 4, 4, 4, 0, 9)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(texts)], ["k", "t"])
+    parts = list(slices(batch, 1, most=10))
+    assert [k for p in parts for k in p.column(0).to_pylist()] == list(range(9))
+    assert len(parts) > 3 and all(sum(sorted(len(t or "") for t in p.column(1).to_pylist())[:-1]) <= 10 for p in parts)
+    assert list(slices(batch.slice(0, 0), 1)) == []
