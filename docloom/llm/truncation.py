@@ -31,7 +31,8 @@ from .common import materialize, table
 LEAST_UNIT = 16  # characters; shorter units are copies of too much
 OPENING_WORDS, LAST_WORDS = 2, 3
 #: Where fewer than this share of the texts of one form end, and at least ``LEAST_LONGER`` go on, an end there is a loss.
-END_SHARE, LEAST_LONGER = 0.05, 3
+END_SHARE, LEAST_LONGER = 0.2, 3
+FRAGMENT_SHARE = 0.01  # a word that follows its context less often than that, and ends there, is a fragment
 STOP_SHARE = 0.02  # the same for ends with a stop, which may be a decimal point
 #: Words that open this share of all answers are kept as they are, other first words are masked like the rest.
 OPENERS, OPENER_SHARE = 500, 0.0007
@@ -40,10 +41,10 @@ OPENERS, OPENER_SHARE = 500, 0.0007
 PLACEHOLDERS = frozenset(["n/a", "na", "tbd", "tba", "null", "nil", "nan", "none given", '""', "''", "<blank>", "<empty>", "<none>", "<null>", "[answer]", "[blank]", "[empty]", "[no answer]", "<answer>", "{answer}", "answer:", "answer", "antwort:", "respuesta:", "réponse:", "a:", "todo", "xxx", "???", "placeholder", "lorem ipsum", "(blank)", "(empty)", "#n/a", "undefined"])
 # Words that can't end a sentence, entry or figure.
 OPEN_WORDS = frozenset(
-    "a an the of in on at by for from to with without and or nor but as than that which whose whom who is are was were be been has have had its their our his her into under over against between during per about after before because while whereas if when where this these those each versus vs i.e e.g approx "
-    "el la los las un una de del en con por para y o que se su sus al como más entre sobre desde "
-    "der die das den dem des ein eine einen einem einer und oder von vom zum zur mit für bei am im auf aus nach wobei während als "
-    "le les des du et ou dans avec pour par sur au aux une est contre plus".split()
+    "a an the of at by for from to and or than which whose its their our his her is are was were "
+    "el la los las un una de del por para y que su sus "
+    "der die das den dem des ein eine einen einem einer und oder von vom zum zur bei "
+    "le les du et ou dans avec pour par au aux une".split()
 )
 _INVISIBLE = re.compile("[\u00ad\u034f\u200b-\u200f\u2060\ufeff]")
 _DEBRIS = re.compile(r"(?:\ufffd+|&(?:#?[A-Za-z0-9]{1,8};?)?|[^\W\d_]%[0-9A-Fa-f]{0,2}|(?:%[0-9A-Fa-f]{2})+%?|</?[A-Za-z][^<>]*|</?|\\(?:u[0-9A-Fa-f]{0,4}|x[0-9A-Fa-f]{0,2}|n)?|=[0-9A-F]{2}|=\r?)$")
@@ -107,13 +108,21 @@ def _tokens(unit: str, openers: frozenset[str]) -> list[str]:
     return out
 
 
+def _style(tokens: list[str], n: int) -> str:
+    """How the first sum of a text is written: its unit, or that it has none; later sums are written alike."""
+    for i in range(n - 1):
+        if "$" in tokens[i]:
+            return tokens[i + 1].strip(",.;") if tokens[i + 1][:4] in ("mill", "thou", "bill") else "plain"
+    return ""
+
+
 def _key(tokens: list[str], n: int) -> int:
-    return xxhash.xxh3_64_intdigest("\x1f".join((*tokens[: min(OPENING_WORDS, n)], "", *tokens[max(0, n - LAST_WORDS) : n]))) - (1 << 63)
+    return xxhash.xxh3_64_intdigest("\x1f".join((*tokens[: min(OPENING_WORDS, n)], _style(tokens, n), *tokens[max(0, n - LAST_WORDS) : n]))) - (1 << 63)
 
 
 def _tail_key(tokens: list[str], n: int) -> int:
     """As ``_key``, without the opening words."""
-    return xxhash.xxh3_64_intdigest("\x1f".join(("", *tokens[max(0, n - LAST_WORDS) : n]))) - (1 << 63)
+    return xxhash.xxh3_64_intdigest("\x1f".join(("", _style(tokens, n), *tokens[max(0, n - LAST_WORDS) : n]))) - (1 << 63)
 
 
 def _ended(unit: str) -> tuple[str, bool]:
@@ -159,6 +168,12 @@ def passage_form(text: str) -> int:
     return LOST
 
 
+def open_end(text: str) -> bool:
+    """True if the last word or sign of several words can't end anything."""
+    words = _last_unit(text).split()
+    return len(words) > 1 and (text[-1] in "$€£(=,:–—&+" or (text[-1] == "-" and text[-2].isalnum()) or words[-1].lower().strip("(") in OPEN_WORDS)
+
+
 def answer_form(text: str) -> int:
     """Verdict on an answer of a form that no other answer has."""
     last = _last_unit(text)
@@ -169,7 +184,7 @@ def answer_form(text: str) -> int:
     if _FIGURE.match(text):
         return WHOLE
     words = last.split()
-    if (len(words) > 1 and words[-1].lower().strip("(") in OPEN_WORDS) or text[-1] in ",:-–—(/&+=$" or _BROKEN_NUMBER.search(text) or text.count("(") > text.count(")"):
+    if open_end(text) or text[-1] in "-/" or _BROKEN_NUMBER.search(text) or text.count("(") > text.count(")"):
         return LOST
     return WHOLE
 
@@ -226,8 +241,8 @@ def answer_verdicts(answers: DataFrame) -> DataFrame:
                 text = content(value)
                 if not text:
                     continue
-                if damaged(text):
-                    rows.append((k, True, None, None, None, 0, False))
+                if damaged(text) or open_end(text):
+                    rows.append((k, True, None, None, None, 0, False, False))
                     continue
                 bare, stop = _ended(_last_unit(text))
                 tokens = _tokens(bare, openers)
@@ -235,13 +250,13 @@ def answer_verdicts(answers: DataFrame) -> DataFrame:
                     continue  # ends in a stop after a word
                 if len(tokens) < 2 or all(t.startswith("X") for t in tokens):
                     tokens = []  # a single word or a mere name has no form of its own
-                rows.append((k, None, _key(tokens, len(tokens)) if tokens else None, _tail_key(tokens, len(tokens)) if tokens else None, _key(tokens, len(tokens) - 1) if len(tokens) > 1 else None, answer_form(text), stop))
-            cols = list(zip(*rows)) if rows else [[]] * 7
-            types = [batch.schema.field(0).type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["id", "sure", "form", "tail", "before", "shape", "stop"])
+                rows.append((k, None, _key(tokens, len(tokens)) if tokens else None, _tail_key(tokens, len(tokens)) if tokens else None, _key(tokens, len(tokens) - 1) if len(tokens) > 1 else None, answer_form(text), stop, bool(tokens) and tokens[-1].islower() and tokens[-1].replace("-", "").isalpha()))
+            cols = list(zip(*rows)) if rows else [[]] * 8
+            types = [batch.schema.field(0).type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["id", "sure", "form", "tail", "before", "shape", "stop", "plain"])
 
     kind = answers.schema["id"].dataType.simpleString()
-    open_ends = answers.select("id", "text").mapInArrow(judge, f"id {kind}, sure boolean, form long, tail long, before long, shape int, stop boolean")
+    open_ends = answers.select("id", "text").mapInArrow(judge, f"id {kind}, sure boolean, form long, tail long, before long, shape int, stop boolean, plain boolean")
     counts = materialize(form_counts(answers, openers), "p1-forms")
     tails = counts.select(F.col("form").alias("tail"), F.col("ends").alias("tail_ends"), F.col("longer").alias("tail_longer"))
     there = counts.select(F.col("form").alias("before"), F.col("longer").alias("before_longer"))
@@ -253,9 +268,11 @@ def answer_verdicts(answers: DataFrame) -> DataFrame:
         others, on = F.greatest(F.coalesce(ends, F.lit(0)) - 1, F.lit(0)), F.coalesce(longer, F.lit(0))
         return F.when(others + on >= LEAST_LONGER, (on >= LEAST_LONGER) & (others < share * (others + on))).otherwise(otherwise)
 
-    # No other text has this form: the last word is a fragment if texts do go on after the words before it.
-    fragment = ~F.col("stop") & (F.coalesce("ends", F.lit(0)) + F.coalesce("longer", F.lit(0)) <= 1) & (F.coalesce("before_longer", F.lit(0)) >= LEAST_LONGER + 1)
-    lost = F.coalesce("sure", judged("ends", "longer", F.when(fragment, True).otherwise(judged("tail_ends", "tail_longer", F.col("shape") == LOST))))
+    # Texts go on after the words before the last one, but hardly ever with this word, and never beyond it: a fragment.
+    before = F.coalesce("before_longer", F.lit(0))
+    rare = F.greatest(F.lit(1), before * FRAGMENT_SHARE)
+    fragment = ~F.col("stop") & F.col("plain") & (F.coalesce("longer", F.lit(0)) == 0) & (F.coalesce("ends", F.lit(0)) <= rare) & (before >= LEAST_LONGER + 1)
+    lost = F.coalesce("sure", F.when(fragment, True).otherwise(judged("ends", "longer", judged("tail_ends", "tail_longer", F.col("shape") == LOST))))
     return joined.where(lost).select("id").distinct()
 
 
