@@ -168,6 +168,11 @@ def passage_form(text: str) -> int:
     return LOST
 
 
+def _can_be_fragment(token: str) -> bool:
+    """True for words in lower case, a lone capital and figures of few digits: what a cut leaves of a longer word."""
+    return token in ("I", "d1", "d2", "d3") or (token.islower() and token.replace("-", "").isalpha())
+
+
 def open_end(text: str) -> bool:
     """True if the last word or sign of several words can't end anything."""
     words = _last_unit(text).split()
@@ -246,11 +251,14 @@ def answer_verdicts(answers: DataFrame) -> DataFrame:
                     continue
                 bare, stop = _ended(_last_unit(text))
                 tokens = _tokens(bare, openers)
+                if tokens and re.fullmatch(r"\$\(?d\d?", tokens[-1]) and _style(tokens, len(tokens))[:4] in ("mill", "thou", "bill"):
+                    rows.append((k, True, None, None, None, 0, False, False))  # a sum without the unit the others have
+                    continue
                 if stop and not (tokens and (tokens[-1][-1:].isdigit() or _ABBREVIATION.search(text))):
                     continue  # ends in a stop after a word
                 if len(tokens) < 2 or all(t.startswith("X") for t in tokens):
                     tokens = []  # a single word or a mere name has no form of its own
-                rows.append((k, None, _key(tokens, len(tokens)) if tokens else None, _tail_key(tokens, len(tokens)) if tokens else None, _key(tokens, len(tokens) - 1) if len(tokens) > 1 else None, answer_form(text), stop, bool(tokens) and tokens[-1].islower() and tokens[-1].replace("-", "").isalpha()))
+                rows.append((k, None, _key(tokens, len(tokens)) if tokens else None, _tail_key(tokens, len(tokens)) if tokens else None, _key(tokens, len(tokens) - 1) if len(tokens) > 1 else None, answer_form(text), stop, bool(tokens) and _can_be_fragment(tokens[-1])))
             cols = list(zip(*rows)) if rows else [[]] * 8
             types = [batch.schema.field(0).type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["id", "sure", "form", "tail", "before", "shape", "stop", "plain"])
