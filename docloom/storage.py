@@ -25,3 +25,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/docloom/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> bool:
+    """Delete all intermediate results in the shared folder; True if there were any. Frames read from them end with it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/docloom")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
