@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +62,7 @@ _FIGURE = re.compile(r"^[$€£]?\s?\(?-?[$€£]?\d{1,3}(?:,\d{3})*(?:\.\d+)?\)
 _BROKEN_NUMBER = re.compile(r"(?:\d[,.]|,\d{1,2}|[$€£(=+/*]|\(\d[\d,.]*)$")
 
 LOST, WHOLE = 1, 0
+FIRST, LAST = 2, 3  # the units at the ends of a sorted range
 
 
 def content(value: str | None) -> str:
@@ -330,27 +332,38 @@ def _longer_copies(marked: DataFrame) -> DataFrame:
     """(unit, verdict) for asked units that stand whole in a source (WHOLE) or begin a longer unit of one (LOST).
 
     All units are sorted over all partitions, by ranges, so no beginning shared by many is a hot group. The units that
-    a unit begins follow it directly; a range ends at a unit that occurs, so they follow it in its own partition, unless
-    the bound is the asked unit itself: such a unit (one for each partition at most) is left to its form.
+    a unit begins follow it directly. All copies of a unit stand in one partition; what follows its last unit is the
+    first unit of the next partition that has any.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
         current, wanted, there = None, False, False
-        out: list[tuple[str, int]] = []
+        out: list[tuple[str, int | None, int | None]] = []
         for batch in batches:
             for unit, is_asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if unit != current:
-                    if wanted and (verdict := _compared(current, there, unit)) is not None:
-                        out.append((current, verdict))
+                    if current is None:
+                        out.append((unit, FIRST, part))
+                    elif wanted and (verdict := _compared(current, there, unit)) is not None:
+                        out.append((current, verdict, None))
                     current, wanted, there = unit, False, False
                 wanted |= is_asked
                 there |= not is_asked
-            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in out], pa.string()), pa.array([v for _, v in out], pa.int32())], ["unit", "verdict"])
+            yield rows(out)
             out.clear()
-        if wanted and there:
-            yield pa.RecordBatch.from_arrays([pa.array([current], pa.string()), pa.array([WHOLE], pa.int32())], ["unit", "verdict"])
+        if wanted:
+            yield rows([(current, WHOLE, None) if there else (current, LAST, part)])
 
-    return marked.repartitionByRange("unit").sortWithinPartitions("unit").mapInArrow(scan, "unit string, verdict int")
+    def rows(out: list[tuple[str, int, int | None]]) -> pa.RecordBatch:
+        cols = list(zip(*out)) if out else [[]] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.string(), pa.int32(), pa.int32()])], ["unit", "verdict", "part"])
+
+    found = materialize(marked.repartitionByRange("unit").sortWithinPartitions("unit").mapInArrow(scan, "unit string, verdict int, part int"), "p1-copies")
+    edges = sorted((r["part"], r["verdict"], r["unit"]) for r in found.where("part is not null").collect())  # two units a partition at most
+    over = [(unit, _compared(unit, False, after)) for (_, kind, unit), (_, _, after) in zip(edges, edges[1:]) if kind == LAST]
+    decided = marked.sparkSession.createDataFrame([(u, v) for u, v in over if v is not None], "unit string, verdict int")
+    return found.where("part is null").select("unit", "verdict").unionByName(decided)
 
 
 def _compared(unit: str, there: bool, following: str) -> int | None:
@@ -384,7 +397,7 @@ def passage_verdicts(passages: DataFrame, chunks: DataFrame, tables: DataFrame)
 
     kind = passages.schema["id"].dataType.simpleString()
     ends = materialize(passages.select("id", "text").mapInArrow(read, f"id {kind}, sure boolean, unit string, shape int").distinct(), "p1-ends")
-    asked = ends.where("unit is not null").select("unit", F.lit(True).alias("asked"))
+    asked = ends.where("unit is not null").select("unit").distinct().withColumn("asked", F.lit(True))
     judged = _longer_copies(_source_units(chunks, tables).select("unit", F.lit(False).alias("asked")).unionByName(asked))
     joined = ends.join(judged, "unit", "left")
     return joined.where(F.coalesce("sure", F.coalesce("verdict", "shape") == LOST)).select("id").distinct()

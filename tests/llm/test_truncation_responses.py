@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from docloom.llm.responses import TAGS, fit, pair_defects, training_sequences
-from docloom.llm.truncation import answer_form, content, damaged, lost_ends, passage_form, units
+from docloom.llm.truncation import answer_form, content, damaged, lost_ends, passage_form, passage_verdicts, units
 
 QA = "id string, question string, answer string, source_passage string, feed string, text string"
 
@@ -41,6 +41,24 @@ def test_lost_ends(spark):
     assert lost_ends(df.limit(0), chunks.limit(0), tables.limit(0)).count() == 0
 
 
+def test_copies_at_range_bounds(spark):
+    """Every cut row is found by its longer copy, wherever the sorted ranges end, and so is one that many ids share."""
+    grids = [([[f"Item {k} of the year", f"1,{k}"], [f"Net sum of item {k}", "3,100"]],) for k in range(100, 250)]
+    passages = [(f"cut{k}", f"Item {k} of the year | 1,{k}\nNet sum of item {k} | 3") for k in range(100, 250)]
+    passages += [(f"hot{i}", passages[70][1]) for i in range(400)] + [(f"whole{k}", f"Item {k} of the year | 1,{k}\nNet sum of item {k} | 3,100") for k in range(100, 250, 7)]
+    rows = spark.createDataFrame(passages, "id string, text string")
+    tables, chunks = spark.createDataFrame(grids, "cell_rows array<array<string>>"), spark.createDataFrame([], "text string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["id"] for r in passage_verdicts(rows, chunks, tables).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {k for k, _ in passages if not k.startswith("whole")}
+
+
 @pytest.fixture(scope="module")
 def field():
     pairs = [(f"What lease expense did the {n} program record at {m} under contract KT-{i}0{i} in fiscal {2010 + i % 9}?", f"The {n} program recorded lease expense of ${i}.{i % 10} million at {m} in fiscal {2010 + i % 9}.") for i, (n, m) in enumerate((f"Abe{i}l", f"Wex{i}or") for i in range(400))]
