@@ -196,6 +196,12 @@ def answer_form(text: str) -> int:
     return WHOLE
 
 
+def _distinct_texts(answers: DataFrame) -> DataFrame:
+    """Every answer text once, without what ``content`` takes off, so that copies and second deliveries count as one."""
+    visible = F.regexp_replace("text", _INVISIBLE.pattern, "")
+    return answers.select(F.regexp_replace(visible, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "").alias("text")).where("text != ''").distinct()
+
+
 def _openers(answers: DataFrame) -> frozenset[str]:
     """The most frequent first words of answers: at most ``OPENERS``, counted over all of them."""
     first = F.lower(F.regexp_extract("text", r"^\s*(\S+)", 1))
@@ -206,7 +212,7 @@ def _openers(answers: DataFrame) -> frozenset[str]:
 
 
 def form_counts(answers: DataFrame, openers: frozenset[str]) -> DataFrame:
-    """(form, ends, longer): how often texts end at a prefix of that form, and how often they go on."""
+    """(form, ends, longer): how often texts end at a prefix of that form, and how often they go on. One row for a text."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends: Counter[int] = Counter()
@@ -238,8 +244,9 @@ def form_counts(answers: DataFrame, openers: frozenset[str]) -> DataFrame:
 
 
 def answer_verdicts(answers: DataFrame) -> DataFrame:
-    """(id, lost) of every answer with content, from the forms of all answers. Input: id, text."""
-    openers = _openers(answers)
+    """ids of answers that lost their end, from the forms of all distinct answer texts. Input: id, text."""
+    texts = materialize(_distinct_texts(answers), "p1-texts")
+    openers = _openers(texts)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,7 +274,7 @@ def answer_verdicts(answers: DataFrame) -> DataFrame:
 
     kind = answers.schema["id"].dataType.simpleString()
     open_ends = answers.select("id", "text").mapInArrow(judge, f"id {kind}, sure boolean, form long, tail long, before long, shape int, stop boolean, plain boolean")
-    counts = materialize(form_counts(answers, openers), "p1-forms")
+    counts = materialize(form_counts(texts, openers), "p1-forms")
     tails = counts.select(F.col("form").alias("tail"), F.col("ends").alias("tail_ends"), F.col("longer").alias("tail_longer"))
     there = counts.select(F.col("form").alias("before"), F.col("longer").alias("before_longer"))
     joined = open_ends.join(counts, "form", "left").join(tails, "tail", "left").join(there, "before", "left")

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from docloom.llm.responses import TAGS, fit, pair_defects, training_sequences
-from docloom.llm.truncation import answer_form, content, damaged, lost_ends, passage_form, passage_verdicts, units
+from docloom.llm.truncation import answer_form, answer_verdicts, content, damaged, lost_ends, passage_form, passage_verdicts, units
 
 QA = "id string, question string, answer string, source_passage string, feed string, text string"
 
@@ -59,6 +59,24 @@ def test_copies_at_range_bounds(spark):
     assert got == {k for k, _ in passages if not k.startswith("whole")}
 
 
+def test_copies_of_answers_change_no_verdict(spark):
+    """Second deliveries and a third of the rows being copies of one text leave all verdicts as they are."""
+    answers = [f"The {n} program recorded costs of ${i}.5 million at {m} in fiscal 2019." for i, (n, m) in enumerate(zip("Abel Bron Cade Dorn Etna".split() * 8, "Wex Yarn Zell Vale Ulm".split() * 8))]
+    rows = [(f"ok{i}", a) for i, a in enumerate(answers)]
+    rows += [("cut", "The Abel program recorded costs of $7.5"), ("fragment", "The Bron program recorded cos"), ("short", "Higher costs"), ("rare", "Sales fell at Wex")]
+
+    def lost(rows):
+        return {r["id"] for r in answer_verdicts(spark.createDataFrame(rows, "id string, text string")).collect()}
+
+    once = lost(rows)
+    assert {"cut", "fragment"} <= once and not any(k.startswith("ok") for k in once)
+    assert lost(rows + rows) == once
+    assert lost(rows + [(k + "-again", f" {a}\u200b\n") for k, a in rows]) == once | {k + "-again" for k in once}
+    for hot in ("cut", "fragment", "short", "ok3"):
+        copies = [(f"{hot}-copy{i}", dict(rows)[hot]) for i in range(len(rows) // 2)]
+        assert lost(rows + copies) == once | {k for k, _ in copies if hot in once}, hot
+
+
 @pytest.fixture(scope="module")
 def field():
     pairs = [(f"What lease expense did the {n} program record at {m} under contract KT-{i}0{i} in fiscal {2010 + i % 9}?", f"The {n} program recorded lease expense of ${i}.{i % 10} million at {m} in fiscal {2010 + i % 9}.") for i, (n, m) in enumerate((f"Abe{i}l", f"Wex{i}or") for i in range(400))]
