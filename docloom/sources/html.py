@@ -29,6 +29,7 @@ class Node:
     tag: str
     attrs: dict[str, str] = field(default_factory=dict)
     children: list[Node | str] = field(default_factory=list)
+    hidden: bool = False
 
     def walk(self) -> Iterator[Node]:
         stack = [iter(self.children)]
@@ -68,36 +69,37 @@ def is_hidden(tag: str, attrs: dict[str, str]) -> bool:
     return False
 
 
+def _is_outer(tag: str) -> bool:
+    """Blocks, parts of tables and tagged sections: a hidden one isn't closed by the end of anything else around it."""
+    return tag in _ENDS_PARAGRAPH or tag in _CLOSES or tag in ("body", "html") or ":" in tag
+
+
 class _Builder(HTMLParser):
+    """Builds the tree. A hidden element is opened and closed like any other, but never hung into its parent."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Node("#root")
         self.open = [self.root]
-        self.hidden = 0  # depth within a hidden subtree
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         given = {k: v or "" for k, v in attrs}
-        if self.hidden:
-            self.hidden += tag not in _VOID
-            return
         if tag in _ENDS_PARAGRAPH:
-            self._close({"p"}, {"td", "th", "table", "li"})
+            self._close({"p"}, {"td", "th", "table", "li"}, within_hidden=True)
         if tag in _CLOSES:
             self._close(_CLOSES[tag], _SCOPES[tag])
-        if is_hidden(tag, given):
-            self.hidden = int(tag not in _VOID)
-            return
-        node = Node(tag, given)
-        self.open[-1].children.append(node)
+        node = Node(tag, given, hidden=is_hidden(tag, given))
+        if not node.hidden:
+            self.open[-1].children.append(node)
         if tag not in _VOID:
             self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if not self.hidden and not is_hidden(tag, {k: v or "" for k, v in attrs}):
+        if not is_hidden(tag, {k: v or "" for k, v in attrs}):
             self.open[-1].children.append(Node(tag, {k: v or "" for k, v in attrs}))
 
-    def _close(self, tags: set[str], scope: set[str]) -> None:
-        """Close the nearest open elements of ``tags``, not beyond one of ``scope``."""
+    def _close(self, tags: set[str], scope: set[str], within_hidden: bool = False) -> None:
+        """Close the nearest open elements of ``tags``, not beyond one of ``scope`` (or a hidden element)."""
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag in tags:
                 last = i
@@ -105,23 +107,21 @@ class _Builder(HTMLParser):
                     last -= 1
                 del self.open[last:]
                 return
-            if self.open[i].tag in scope:
+            if self.open[i].tag in scope or (within_hidden and self.open[i].hidden):
                 return
 
     def handle_endtag(self, tag: str) -> None:
-        if self.hidden:
-            self.hidden -= tag not in _VOID
-            return
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
                 del self.open[i:]
                 return
             if self.open[i].tag == "table" and tag != "table":
                 return  # what a table holds doesn't close what is around it
+            if self.open[i].hidden and _is_outer(self.open[i].tag) and not _is_outer(tag):
+                return  # a stray end of an inline element doesn't end the hiding
 
     def handle_data(self, data: str) -> None:
-        if not self.hidden:
-            self.open[-1].children.append(data)
+        self.open[-1].children.append(data)
 
 
 def parse(html: str | None) -> Node:

@@ -48,6 +48,21 @@ def test_hidden_content_is_gone():
     assert texts(page) == ["seen 5", "kept", "kept too"]
 
 
+def test_hidden_content_with_left_out_and_stray_ends():
+    after = "<p>seen</p><table><tr><td>k</td><td>v</td></tr><tr><td>a</td><td>b</td></tr></table>"
+    hidden = ["<p>a<p>b", "<ul><li>a<li>b</ul>", "<table><tr><td>a<td>b<tr><td>c</table>", "<p>a</span>b", "a</b></p>b", "a<br>b<img src=x>", "<div><p>a</div>b", "<table><tr><td>a</div>b</table>c"]
+    for inner in hidden:
+        page = f"<span>top</span><div style='display:none'>{inner}</div>{after}"
+        assert texts(page) == ["top", "seen"] and [r["kind"] for r in scan(page)].count("table") == 1, inner
+        assert texts(f"<span>x<div style='display:none'>{inner}</div>y</span>{after}") == ["x y", "seen"], inner
+    assert texts("<p style='display:none'>a<p>b") == ["b"]
+    assert texts("<ul><li style='display:none'>a<li>b</ul><p>c</p>") == ["b", "c"]
+    assert texts("<p>x<span style='display:none'><div>a</div><p>b</p></span>y</p><p>z</p>") == ["x y", "z"]
+    assert texts("<div>x<span>y<div style='visibility:hidden'>a</span>b</div>z</span></div>") == ["x y z", "y z"]
+    grid = [r for r in scan("<table><tr><th>k<th>v<tr style='display:none'><td>a<td>b<tr><td>c<td style='display:none'>no<td>d</table><p>e</p>") if r["kind"] == "table"]
+    assert grid[0]["rows"] == [["c", "d"]] and grid[0]["columns"] == ["k", "v"]
+
+
 def test_blocks():
     assert texts("<div><p>A</p></div>") == ["A"]
     assert texts("<div><p>A</p><p>B</p></div>") == ["A B", "A", "B"]
