@@ -1,6 +1,6 @@
 import random
 
-from docloom.llm.near_duplicates import components, near_duplicate_groups, near_duplicate_pairs
+from docloom.llm.near_duplicates import budgets_by_size, close_classes, components, error_grid, near_duplicate_groups, near_duplicate_pairs, word_classes
 
 SCHEMA = "id string, question string, cid string, words int"
 
@@ -28,14 +28,34 @@ def sample(seed):
     return rows
 
 
-def test_same_pairs_as_brute_force_with_and_without_rare_words(spark):
+def test_same_pairs_as_brute_force_however_often_blocks_are_refined(spark):
     for seed in range(4):
         rows = sample(seed)
         df = spark.createDataFrame(rows, SCHEMA)
         want = brute(rows)
-        for rare_limit in (0, 2, 64):  # 0: no word is rare, so only blocks of common words remain
-            got = {tuple(r) for r in near_duplicate_pairs(df, "id", "question", rare_limit=rare_limit).collect()}
-            assert got == want, (seed, rare_limit, len(want - got), len(got - want))
+        for pairs_a_key in (0, 40, 1 << 13):  # 0: every key is refined until the sets end
+            got = {tuple(r) for r in near_duplicate_pairs(df, "id", "question", pairs_a_key=pairs_a_key).collect()}
+            assert got == want, (seed, pairs_a_key, len(want - got), len(got - want))
+
+
+def test_every_pair_comes_through_blocks_even_if_all_words_are_common(spark):
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(14)]
+    rows = [(f"q{n:04}", " ".join(rng.sample(vocabulary, 10)), "x", 1) for n in range(900)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    members, classes = word_classes(df, "id", "question")
+    report = []
+    links = close_classes(classes, pairs_a_key=200, report=report).count()
+    assert len(report) > 2 and report[0]["refined"] > 0 and report[-1]["refined"] == 0
+    sets = {frozenset(q.split()) for _, q, *_ in rows}
+    assert links == sum(1 for a in sets for b in sets if sorted(a) < sorted(b) and 5 * len(a & b) >= 4 * len(a | b))
+    assert {tuple(r) for r in near_duplicate_pairs(df, "id", "question", pairs_a_key=200).collect()} == brute(rows)
+
+
+def test_blocks_and_budgets():
+    assert [error_grid(h) for h in (0, 5, 8, 9, 11, 12, 17, 33, 100)] == [0, 5, 8, 10, 12, 12, 20, 40, 112]
+    for n, hs in budgets_by_size(list(range(1, 400))).items():
+        assert len(hs) <= 4 and set(hs) == {error_grid((n + m) // 9) for m in range(-(-n * 4 // 5), min(399, n * 5 // 4) + 1)}
 
 
 def test_odd_rows(spark):
