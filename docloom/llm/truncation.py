@@ -3,20 +3,22 @@
 A value lost its end if its last unit (sentence, list entry or table row) is a strict prefix of a longer copy elsewhere.
 Two kinds of copies are searched, one by sorting values and one by hashing prefixes:
 
-* *literal* copies, for passages quoted from chunks and tables: units of all sources and the last units of all passages
-  are sorted; a unit is a strict prefix of a longer one exactly if it is one of its successor, so nothing is compared
-  pairwise. A unit that also stands whole in a source is whole.
+* *literal* copies, for passages quoted from chunks and tables: the distinct units of all sources and the last units of
+  all passages are sorted. The longer copies of a unit are its direct successors, so each unit is compared with those
+  that follow until one no longer begins with it, and nothing is compared pairwise. What begins near the end of a sorted
+  range is carried on into the next. A unit that also stands whole in a source is whole.
 * copies of *form*, for answers, which have no original: every prefix of every answer sentence is hashed with numbers,
   names and codes masked by their shape (opening words and last words of the prefix). The counts tell whether texts of
   that form end there or go on.
 
 Debris of a transfer, continuation marks and broken figures show without any copy; so do, where no copy exists, ends on
-function words, open brackets or separators.
+open brackets or separators and on words that, by their counts over all texts, nothing ends with.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,24 +31,20 @@ from pyspark.sql import functions as F
 from .canonical import canonical_text
 from .common import materialize, table
 
-LEAST_UNIT = 16  # characters; shorter units are copies of too much
 OPENING_WORDS, LAST_WORDS = 2, 3
 #: Where fewer than this share of the texts of one form end, and at least ``LEAST_LONGER`` go on, an end there is a loss.
 END_SHARE, LEAST_LONGER = 0.2, 3
 FRAGMENT_SHARE = 0.01  # a word that follows its context less often than that, and ends there, is a fragment
 STOP_SHARE = 0.02  # the same for ends with a stop, which may be a decimal point
-#: Words that open this share of all answers are kept as they are, other first words are masked like the rest.
-OPENERS, OPENER_SHARE = 500, 0.0007
+#: Words that open this share of all answers are kept as they are, other first words are masked like the rest. The share
+#: also bounds their number.
+OPENER_SHARE = 0.0007
+#: A word that can't end a text is met this often (and makes up a share of all words, which bounds the list), stands
+#: before hardly any stop, and is hardly ever the last word.
+OPEN_LEAST, OPEN_LEAST_SHARE, OPEN_STOPS, OPEN_ENDS = 40, 0.0001, 0.001, 0.01
 
 # Whole answers without content, in lower case.
 PLACEHOLDERS = frozenset(["n/a", "na", "tbd", "tba", "null", "nil", "nan", "none given", '""', "''", "<blank>", "<empty>", "<none>", "<null>", "[answer]", "[blank]", "[empty]", "[no answer]", "<answer>", "{answer}", "answer:", "answer", "antwort:", "respuesta:", "réponse:", "a:", "todo", "xxx", "???", "placeholder", "lorem ipsum", "(blank)", "(empty)", "#n/a", "undefined"])
-# Words that can't end a sentence, entry or figure.
-OPEN_WORDS = frozenset(
-    "a an the of at by for from to and or than which whose its their our his her is are was were "
-    "el la los las un una de del por para y que su sus "
-    "der die das den dem des ein eine einen einem einer und oder von vom zum zur bei "
-    "le les du et ou dans avec pour par au aux une".split()
-)
 _INVISIBLE = re.compile("[\u00ad\u034f\u200b-\u200f\u2060\ufeff]")
 _DEBRIS = re.compile(r"(?:\ufffd+|&(?:#?[A-Za-z0-9]{1,8};?)?|[^\W\d_]%[0-9A-Fa-f]{0,2}|(?:%[0-9A-Fa-f]{2})+%?|</?[A-Za-z][^<>]*|</?|\\(?:u[0-9A-Fa-f]{0,4}|x[0-9A-Fa-f]{0,2}|n)?|=[0-9A-F]{2}|=\r?)$")
 _MARK = re.compile(r"(?:\.\.\.+|…|\. \. \.|\[(?:\.{3}|…|cont[^\]]*|more|truncated)\]|\((?:\.{3}|…|cont[^)]*|more|truncated)\)|(?:to be )?continued|>>+|-->|→|[ \n]cont(?:inued|['’]d|\.)?)\s*$", re.IGNORECASE)
@@ -110,21 +108,23 @@ def _tokens(unit: str, openers: frozenset[str]) -> list[str]:
     return out
 
 
-def _style(tokens: list[str], n: int) -> str:
-    """How the first sum of a text is written: its unit, or that it has none; later sums are written alike."""
-    for i in range(n - 1):
-        if "$" in tokens[i]:
-            return tokens[i + 1].strip(",.;") if tokens[i + 1][:4] in ("mill", "thou", "bill") else "plain"
-    return ""
+def _first_sum(tokens: list[str]) -> int:
+    """Place of the first sum of a text, or past its end."""
+    return next((i for i, t in enumerate(tokens) if "$" in t), len(tokens))
 
 
-def _key(tokens: list[str], n: int) -> int:
-    return xxhash.xxh3_64_intdigest("\x1f".join((*tokens[: min(OPENING_WORDS, n)], _style(tokens, n), *tokens[max(0, n - LAST_WORDS) : n]))) - (1 << 63)
+def _style(tokens: list[str], n: int, at: int) -> str:
+    """How the first sum (at place ``at``) of the first ``n`` words is written: its unit, or that it has none; later sums are written alike."""
+    if at + 1 >= n:
+        return ""
+    return tokens[at + 1].strip(",.;") if tokens[at + 1][:4] in ("mill", "thou", "bill") else "plain"
 
 
-def _tail_key(tokens: list[str], n: int) -> int:
-    """As ``_key``, without the opening words."""
-    return xxhash.xxh3_64_intdigest("\x1f".join(("", _style(tokens, n), *tokens[max(0, n - LAST_WORDS) : n]))) - (1 << 63)
+def _keys(tokens: list[str], n: int, at: int) -> tuple[int, int]:
+    """Keys of the first ``n`` words, with and without the opening words. Takes the same time for every ``n``."""
+    end = "\x1f".join((_style(tokens, n, at), *tokens[max(0, n - LAST_WORDS) : n]))
+    full = "\x1f".join((*tokens[: min(OPENING_WORDS, n)], end))
+    return xxhash.xxh3_64_intdigest(full) - (1 << 63), xxhash.xxh3_64_intdigest("\x1f" + end) - (1 << 63)
 
 
 def _ended(unit: str) -> tuple[str, bool]:
@@ -154,7 +154,7 @@ def _row_verdict(text: str) -> int | None:
     return None
 
 
-def passage_form(text: str) -> int:
+def passage_form(text: str, open_words: frozenset[str] = frozenset()) -> int:
     """Verdict on a passage of which no copy is found."""
     if "|" in text.split("\n")[-1] or ("|" in text and not _TERMINAL.search(text)):
         verdict = _row_verdict(text)
@@ -164,7 +164,7 @@ def passage_form(text: str) -> int:
     if _TERMINAL.search(text) or text.endswith(";"):
         return WHOLE
     if text == text.lower() and not re.search(r"[.;!?]", text):
-        return LOST if text.rsplit(None, 1)[-1] in OPEN_WORDS else WHOLE  # a layout without stops
+        return LOST if text.rsplit(None, 1)[-1] in open_words else WHOLE  # a layout without stops
     if _FIGURE.match(text):
         return WHOLE
     return LOST
@@ -175,13 +175,13 @@ def _can_be_fragment(token: str) -> bool:
     return token in ("I", "d1", "d2", "d3") or (token.islower() and token.replace("-", "").isalpha())
 
 
-def open_end(text: str) -> bool:
+def open_end(text: str, open_words: frozenset[str] = frozenset()) -> bool:
     """True if the last word or sign of several words can't end anything."""
     words = _last_unit(text).split()
-    return len(words) > 1 and (text[-1] in "$€£(=,:–—&+" or (text[-1] == "-" and text[-2].isalnum()) or words[-1].lower().strip("(") in OPEN_WORDS)
+    return len(words) > 1 and (text[-1] in "$€£(=,:–—&+" or (text[-1] == "-" and text[-2].isalnum()) or words[-1].strip("(\"'“«") in open_words)
 
 
-def answer_form(text: str) -> int:
+def answer_form(text: str, open_words: frozenset[str] = frozenset()) -> int:
     """Verdict on an answer of a form that no other answer has."""
     last = _last_unit(text)
     if _ABBREVIATION.search(last) or _BARE_SUM.search(last) and len(last.split()) > 1:
@@ -191,24 +191,50 @@ def answer_form(text: str) -> int:
     if _FIGURE.match(text):
         return WHOLE
     words = last.split()
-    if open_end(text) or text[-1] in "-/" or _BROKEN_NUMBER.search(text) or text.count("(") > text.count(")"):
+    if open_end(text, open_words) or text[-1] in "-/" or _BROKEN_NUMBER.search(text) or text.count("(") > text.count(")"):
         return LOST
     return WHOLE
 
 
+def _visible(text: Column) -> Column:
+    """As ``content``, without what it takes off."""
+    return F.regexp_replace(F.regexp_replace(text, _INVISIBLE.pattern, ""), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+
+
+def _has_content(text: Column) -> Column:
+    """True where ``content`` gives a text."""
+    return _visible(text).rlike("[\\p{L}\\p{N}$€£\ufffd]") & ~F.lower(_visible(text)).isin(*sorted(PLACEHOLDERS))
+
+
 def _distinct_texts(answers: DataFrame) -> DataFrame:
     """Every answer text once, without what ``content`` takes off, so that copies and second deliveries count as one."""
-    visible = F.regexp_replace("text", _INVISIBLE.pattern, "")
-    return answers.select(F.regexp_replace(visible, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "").alias("text")).where("text != ''").distinct()
+    return answers.select(_visible(F.col("text")).alias("text")).where("text != ''").distinct()
 
 
-def _openers(answers: DataFrame) -> frozenset[str]:
-    """The most frequent first words of answers: at most ``OPENERS``, counted over all of them."""
+def _openers(texts: DataFrame) -> frozenset[str]:
+    """The first words of at least ``OPENER_SHARE`` of all texts, counted over all of them; at most 1 / ``OPENER_SHARE`` words."""
     first = F.lower(F.regexp_extract("text", r"^\s*(\S+)", 1))
-    counts = answers.select(first.alias("w")).where((F.col("w") != "") & ~F.col("w").rlike(r"\d")).groupBy("w").count()
-    top = counts.orderBy(F.col("count").desc(), "w").limit(OPENERS).collect()
-    least = max(3, OPENER_SHARE * (answers.count() if top else 0))
-    return frozenset(r["w"] for r in top if r["count"] >= least)
+    counts = texts.select(first.alias("w")).where((F.col("w") != "") & ~F.col("w").rlike(r"\d")).groupBy("w").count()
+    least = max(3, OPENER_SHARE * texts.count())
+    return frozenset(r["w"] for r in counts.where(F.col("count") >= least).collect())
+
+
+def open_words(texts: DataFrame) -> frozenset[str]:
+    """Words that can't be the last of a text, by their counts over all distinct texts: an article, a preposition and the like.
+
+    Words count as they are written, and only those in lower case, since names may end anything.
+
+    Only words of at least ``OPEN_LEAST_SHARE`` of all words come to the driver, so at most 1 / ``OPEN_LEAST_SHARE``.
+    """
+    tokens = texts.select(F.split("text", r"\s+").alias("t")).select(F.size("t").alias("n"), F.posexplode("t").alias("i", "t"))
+    quotes = "\"'“«”»"
+    word = F.regexp_extract("t", rf"^[({quotes}]*(\p{{Ll}}+)[.!?;:,){quotes}]*$", 1)
+    tokens = tokens.select(word.alias("w"), F.col("t").rlike(rf"[.!?;][){quotes}]*$").alias("stop"), (F.col("i") == F.col("n") - 1).alias("last")).where("w != ''")
+    counts = tokens.groupBy("w").agg(F.count("*").alias("n"), F.sum(F.col("stop").cast("long")).alias("stops"), F.sum((F.col("last") & ~F.col("stop")).cast("long")).alias("ends"))
+    counts = materialize(counts, "p1-words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    frequent = counts.where(F.col("n") >= max(OPEN_LEAST, OPEN_LEAST_SHARE * total))
+    return frozenset(r["w"] for r in frequent.where((F.col("stops") <= OPEN_STOPS * F.col("n")) & (F.col("ends") <= OPEN_ENDS * F.col("n"))).collect())
 
 
 def form_counts(answers: DataFrame, openers: frozenset[str]) -> DataFrame:
@@ -230,14 +256,13 @@ def form_counts(answers: DataFrame, openers: frozenset[str]) -> DataFrame:
                 for unit in units(content(value)):
                     bare, _ = _ended(unit)
                     tokens = _tokens(bare, openers)
+                    at = _first_sum(tokens)
                     for n in range(1, len(tokens)):
-                        longer[_key(tokens, n)] += 1
-                        longer[_tail_key(tokens, n)] += 1
+                        longer.update(_keys(tokens, n, at))
                     if tokens:
-                        ends[_key(tokens, len(tokens))] += 1
-                        ends[_tail_key(tokens, len(tokens))] += 1
-            if len(ends) + len(longer) > 200_000:
-                yield flush()
+                        ends.update(_keys(tokens, len(tokens), at))
+                if len(ends) + len(longer) > 200_000:
+                    yield flush()
         yield flush()
 
     return answers.select("text").mapInArrow(count, "form long, ends long, longer long").groupBy("form").agg(F.sum("ends").alias("ends"), F.sum("longer").alias("longer"))
@@ -246,7 +271,7 @@ def form_counts(answers: DataFrame, openers: frozenset[str]) -> DataFrame:
 def answer_verdicts(answers: DataFrame) -> DataFrame:
     """ids of answers that lost their end, from the forms of all distinct answer texts. Input: id, text."""
     texts = materialize(_distinct_texts(answers), "p1-texts")
-    openers = _openers(texts)
+    openers, last_never = _openers(texts), open_words(texts)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,19 +280,22 @@ def answer_verdicts(answers: DataFrame) -> DataFrame:
                 text = content(value)
                 if not text:
                     continue
-                if damaged(text) or open_end(text):
+                if damaged(text) or open_end(text, last_never):
                     rows.append((k, True, None, None, None, 0, False, False))
                     continue
                 bare, stop = _ended(_last_unit(text))
                 tokens = _tokens(bare, openers)
-                if tokens and re.fullmatch(r"\$\(?d\d?", tokens[-1]) and _style(tokens, len(tokens))[:4] in ("mill", "thou", "bill"):
+                first, n = _first_sum(tokens), len(tokens)
+                if tokens and re.fullmatch(r"\$\(?d\d?", tokens[-1]) and _style(tokens, n, first)[:4] in ("mill", "thou", "bill"):
                     rows.append((k, True, None, None, None, 0, False, False))  # a sum without the unit the others have
                     continue
                 if stop and not (tokens and (tokens[-1][-1:].isdigit() or _ABBREVIATION.search(text))):
                     continue  # ends in a stop after a word
                 if len(tokens) < 2 or all(t.startswith("X") for t in tokens):
                     tokens = []  # a single word or a mere name has no form of its own
-                rows.append((k, None, _key(tokens, len(tokens)) if tokens else None, _tail_key(tokens, len(tokens)) if tokens else None, _key(tokens, len(tokens) - 1) if len(tokens) > 1 else None, answer_form(text), stop, bool(tokens) and _can_be_fragment(tokens[-1])))
+                form, tail = _keys(tokens, n, first) if tokens else (None, None)
+                before = _keys(tokens, n - 1, first)[0] if len(tokens) > 1 else None
+                rows.append((k, None, form, tail, before, answer_form(text, last_never), stop, bool(tokens) and _can_be_fragment(tokens[-1])))
             cols = list(zip(*rows)) if rows else [[]] * 8
             types = [batch.schema.field(0).type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["id", "sure", "form", "tail", "before", "shape", "stop", "plain"])
@@ -323,7 +351,7 @@ def _source_units(chunks: DataFrame, tables: DataFrame) -> DataFrame:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = {u for text in batch.column(0).to_pylist() if text for u in _compared_units(text)}
-            yield pa.RecordBatch.from_arrays([pa.array([u for u in found if len(u) >= LEAST_UNIT], pa.string())], ["unit"])
+            yield pa.RecordBatch.from_arrays([pa.array([u for u in found if u], pa.string())], ["unit"])
 
     rows = F.transform("cell_rows", lambda r: F.array_join(r, " | ", ""))
     header = F.array(F.array_join("col_names", " | ", "")) if "col_names" in tables.columns else F.expr("cast(array() as array<string>)")
@@ -338,54 +366,86 @@ def _normal(unit: str) -> str:
 def _longer_copies(marked: DataFrame) -> DataFrame:
     """(unit, verdict) for asked units that stand whole in a source (WHOLE) or begin a longer unit of one (LOST).
 
-    All units are sorted over all partitions, by ranges, so no beginning shared by many is a hot group. The units that
-    a unit begins follow it directly. All copies of a unit stand in one partition; what follows its last unit is the
-    first unit of the next partition that has any.
+    Input: unit, asked. Units are made distinct first, so no copy is a hot group, and then sorted over all partitions by
+    ranges, so no beginning shared by many is one. All units that a unit begins follow it directly; they are scanned
+    until one decides. Asked units still open at the end of a range are compared with the first unit of the next one
+    that has any; where that begins with the unit and doesn't decide either, all units are looked through for them
+    once more. The verdicts don't depend on the number of partitions.
     """
+    spark = marked.sparkSession
+    marked = materialize(marked.groupBy("unit").agg(F.bool_or("asked").alias("asked"), F.bool_or(~F.col("asked")).alias("there")), "p1-units")
+
+    def rows(out: list[tuple[str, int, int | None]]) -> pa.RecordBatch:
+        cols = list(zip(*out)) if out else [[]] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.string(), pa.int32(), pa.int32()])], ["unit", "verdict", "part"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        current, wanted, there = None, False, False
-        out: list[tuple[str, int | None, int | None]] = []
+        open_units: list[str] = []  # asked units without a verdict, each of which begins the next
+        begun = False
         for batch in batches:
-            for unit, is_asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if unit != current:
-                    if current is None:
-                        out.append((unit, FIRST, part))
-                    elif wanted and (verdict := _compared(current, there, unit)) is not None:
-                        out.append((current, verdict, None))
-                    current, wanted, there = unit, False, False
-                wanted |= is_asked
-                there |= not is_asked
+            out: list[tuple[str, int, int | None]] = []
+            for unit, asked, there in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if not begun:
+                    out.append((unit, FIRST, part))
+                    begun = True
+                while open_units and not unit.startswith(open_units[-1]):
+                    open_units.pop()
+                if open_units:
+                    decided = [_goes_on(u, unit) for u in open_units]
+                    out += [(u, LOST, None) for u, d in zip(open_units, decided) if d]
+                    open_units = [u for u, d in zip(open_units, decided) if not d]
+                if asked and there:
+                    out.append((unit, WHOLE, None))
+                elif asked:
+                    open_units.append(unit)
             yield rows(out)
-            out.clear()
-        if wanted:
-            yield rows([(current, WHOLE, None) if there else (current, LAST, part)])
-
-    def rows(out: list[tuple[str, int, int | None]]) -> pa.RecordBatch:
-        cols = list(zip(*out)) if out else [[]] * 3
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.string(), pa.int32(), pa.int32()])], ["unit", "verdict", "part"])
+        yield rows([(u, LAST, part) for u in open_units])
 
     found = materialize(marked.repartitionByRange("unit").sortWithinPartitions("unit").mapInArrow(scan, "unit string, verdict int, part int"), "p1-copies")
-    edges = sorted((r["part"], r["verdict"], r["unit"]) for r in found.where("part is not null").collect())  # two units a partition at most
-    over = [(unit, _compared(unit, False, after)) for (_, kind, unit), (_, _, after) in zip(edges, edges[1:]) if kind == LAST]
-    decided = marked.sparkSession.createDataFrame([(u, v) for u, v in over if v is not None], "unit string, verdict int")
-    return found.where("part is null").select("unit", "verdict").unionByName(decided)
-
-
-def _compared(unit: str, there: bool, following: str) -> int | None:
-    if there:
-        return WHOLE
-    if following.startswith(unit):
-        rest = following[len(unit) :]
-        # After a stop only a copy that goes on without a blank is longer: the stop is then a decimal point or the like.
-        if any(c.isalnum() or c in "$|" for c in rest) and not (_TERMINAL.search(unit) and rest[0].isspace()):
-            return LOST
-    return None
+    # From each partition its first unit, and those begun before its end, each of which begins the next: a few.
+    edges = found.where("part is not null").collect()
+    firsts = sorted((r["part"], r["unit"]) for r in edges if r["verdict"] == FIRST)
+    lost, unsure = [], set()
+    for r in edges:
+        if r["verdict"] == LAST:
+            at = bisect_right(firsts, (r["part"], "\U0010ffff"))
+            if at < len(firsts) and firsts[at][1].startswith(r["unit"]):
+                if _goes_on(r["unit"], firsts[at][1]):
+                    lost.append(r["unit"])
+                else:
+                    unsure.add(r["unit"])
+    decided = found.where("part is null").select("unit", "verdict")
+    if unsure:
+        sizes = sorted({len(u) for u in unsure})
+
+        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            left = set(unsure)
+            for batch in batches:
+                for unit in batch.column(0).to_pylist():
+                    hits = {u for n in sizes if n < len(unit) and (u := unit[:n]) in left and _goes_on(u, unit)}
+                    if hits:
+                        left -= hits
+                        yield rows([(u, LOST, None) for u in hits])
+
+        decided = decided.unionByName(marked.select("unit").mapInArrow(look, "unit string, verdict int, part int").select("unit", "verdict").distinct())
+    return decided.unionByName(spark.createDataFrame([(u, LOST) for u in lost], "unit string, verdict int"))
+
+
+def _goes_on(unit: str, longer: str) -> bool:
+    """True if ``longer``, which may begin with ``unit``, shows that the unit lost its end."""
+    if len(longer) <= len(unit) or not longer.startswith(unit):
+        return False
+    rest = longer[len(unit) :]
+    if rest[0] == "%" and unit[-1].isdigit() or rest[0] == ")" and unit.rsplit("|", 1)[-1].count("(") > unit.rsplit("|", 1)[-1].count(")"):
+        return True  # a figure without its last sign
+    # After a stop only a copy that goes on without a blank is longer: the stop is then a decimal point or the like.
+    return any(c.isalnum() or c in "$|" for c in rest) and not (_TERMINAL.search(unit) and rest[0].isspace())
 
 
 def passage_verdicts(passages: DataFrame, chunks: DataFrame, tables: DataFrame) -> DataFrame:
     """ids of passages that lost their end. Input: id, text; chunks: text; tables: cell_rows and, if there, col_names."""
+    last_never = open_words(_distinct_texts(passages))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -398,13 +458,13 @@ def passage_verdicts(passages: DataFrame, chunks: DataFrame, tables: DataFrame)
                     rows.append((k, True, None, LOST))
                     continue
                 unit = _asked_unit(text)
-                rows.append((k, None, unit if len(unit) >= LEAST_UNIT else None, passage_form(text)))
+                rows.append((k, None, unit or None, passage_form(text, last_never)))
             cols = list(zip(*rows)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [batch.schema.field(0).type, pa.bool_(), pa.string(), pa.int32()])], ["id", "sure", "unit", "shape"])
 
     kind = passages.schema["id"].dataType.simpleString()
     ends = materialize(passages.select("id", "text").mapInArrow(read, f"id {kind}, sure boolean, unit string, shape int").distinct(), "p1-ends")
-    asked = ends.where("unit is not null").select("unit").distinct().withColumn("asked", F.lit(True))
+    asked = ends.where("unit is not null").select("unit").withColumn("asked", F.lit(True))
     judged = _longer_copies(_source_units(chunks, tables).select("unit", F.lit(False).alias("asked")).unionByName(asked))
     joined = ends.join(judged, "unit", "left")
     return joined.where(F.coalesce("sure", F.coalesce("verdict", "shape") == LOST)).select("id").distinct()
@@ -430,7 +490,7 @@ def p1_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     qa = table(spark, sf_dir, "generated_qa")
     lost = p1_found(spark, sf_dir)
     values = qa.select("id", "feed", F.explode(F.array(F.struct(F.lit("source_passage").alias("field_name"), F.col("source_passage").alias("v")), F.struct(F.lit("answer").alias("field_name"), F.col("answer").alias("v")))).alias("e")).select("id", "feed", "e.field_name", "e.v")
-    values = values.where(F.col("v").rlike(r"[\p{L}\p{N}]") & ~F.lower(F.trim("v")).isin(*sorted(PLACEHOLDERS))).select("id", "field_name", "feed").groupBy("id", "field_name").agg(F.min("feed").alias("feed"))
+    values = values.where(_has_content(F.col("v"))).select("id", "field_name", "feed").groupBy("id", "field_name").agg(F.min("feed").alias("feed"))
     flagged = values.join(lost.withColumn("lost", F.lit(1)), ["id", "field_name"], "left")
     return flagged.groupBy("feed").agg(F.count("*").alias("n_values"), F.coalesce(F.sum("lost"), F.lit(0)).alias("n_lost")).withColumn("lost_share", F.round(F.col("n_lost") / F.col("n_values"), 6))
 
