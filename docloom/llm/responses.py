@@ -1,19 +1,28 @@
 """Broken prompt and response pairs (problem 6).
 
-A response is cut into clauses, each described by a few features (its words in the question, the language it is in,
-phrases of declining, figures, quotation, whether its end is lost), and a linear-chain conditional random field tags
-every clause as answer, refusal, echo, foreign or unfinished. The coverage of the response by its tags gives the pair's
-one defect. Responses without content have none to tag and are empty.
-
-The field is trained here, on pairs of the corpus that are damaged on purpose, so every clause's tag is known.
+A response is cut into clauses and a linear-chain conditional random field tags every clause as answer, refusal, echo,
+foreign or unfinished. The coverage of the response by its tags gives the pair's one defect. Responses without content
+have none to tag and are empty.
+
+The field sees a clause by what it shares and what it brings. Words of the question make an echo; figures and words of
+the passage that the question lacks are content. What is left, the *loose* words, is judged by models estimated from the
+corpus and a list of sentences that decline: how many of them are familiar in the language of the question, how many of
+their letter triples are, which script they are in, and how much likelier they are where somebody declines. A refusal
+in a language that nothing here knows is thus unfamiliar and brings nothing, an answer in such a language is unfamiliar
+and brings the passage's figures or names.
+
+The field is trained here, on pairs of the corpus that are damaged on purpose, so every clause's tag is known. Pairs that
+a first field takes for damaged already are left out of the second.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +36,11 @@ TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
 #: Pairs the field is trained on at most, chosen by a hash of their ids. All pairs are judged.
 MAX_TRAINING_PAIRS = 3000
+MAX_TRAINING_CHARS = 8000
 
 # Common words by language, none of which is a word of another language listed here in lower case.
 FUNCTION_WORDS = {
-    "en": "the of and to was is for were that which its by at from with this it be been not an are than before after year what how did does whether would both between on has have their",
+    "en": "the of and to was is for were that which its by at from with this it be been not an are than before after year what how did does whether would both between on has have their while because there they she you if but had out about into only other then when who could should may might just each every any some such these those through during until since",
     "es": "el los las del una con por según y fue había durante la en que cuánto qué cuál como para se su ejercicio año cifra informe",
     "de": "der die das und von für war wie lag den dem ein einen eine am im nach auf bei weil während noch sich laut zum zur nicht welcher wert betrag jahr",
     "fr": "le les des du et une dans pour était sur au aux est car selon quel quelle qui plus contre il l'exercice montant rapport année",
@@ -45,41 +55,43 @@ for _i, _name in enumerate(_LANGUAGES):
     for _w in FUNCTION_WORDS[_name].split():
         _BY_WORD.setdefault(_w, []).append(_i)
 
-# How a writer declines in its own person, or says that the given text doesn't answer.
-_SELF = re.compile(r"\b(?:I|I['’](?:m|d|ll|ve)|[Mm]e|[Mm]y|i)\b|\b[Aa]s an (?:AI|assistant|language model)\b")
-_DECLINE = re.compile(
-    r"\b(?:cannot|can ?not|can['’]?t|could ?n['’]?t|unable|not able|wo ?n['’]?t|will not|would not|decline|refuse|not (?:allow|permit|comfortable|appropriate|authori[sz]ed|in a position)|against|rather not|do ?n['’]?t|do not|lack|no access|guess(?:ing)?|leave this|pass on|must (?:decline|pass)|have to pass|outside|off limits|beyond|nothing|sorry|apologi[sz]e)\b",
-    re.IGNORECASE,
-)
-_SHORTFALL = re.compile(
-    r"\b(?:(?:passage|text|excerpt|context|document|source|report|information|shown|given|provided|material)s?\b.*\b(?:does not|doesn['’]t|do not|don['’]t|not possible|no answer|too little|insufficient|lacks?|can(?:not|['’]t) be)|(?:not possible|impossible|no answer|too little|not enough|insufficient|nothing|can(?:not|['’]t) be (?:resolved|determined|answered))\b.*\b(?:passage|text|excerpt|context|document|source|report|shown|given|provided|respond|answer)|falls? outside what|against my|not be appropriate|wo n?['’]?t be able)\b",
-    re.IGNORECASE,
-)
-_OTHERS = re.compile(
-    r"\b(?:no (?:puedo|podemos|dispongo|me es posible|tengo (?:datos|acceso|información)|estoy en condiciones)|lo siento|lamento|(?:kann|darf|könnte|möchte) ich\b.*\b(?:nicht|keine)|ich (?:kann|darf|möchte|habe|bin)\b.*\b(?:nicht|keine)|leider|je (?:ne |n['’])(?:peux|suis|dispose|ai)|désolée?|regrette|impossible de répondre|non posso|mi dispiace|non sono in grado|não posso|desculpe|não (?:tenho|disponho)|ik kan\b.*\b(?:niet|geen)|helaas|nie mogę|niestety|przepraszam)\b",
-    re.IGNORECASE,
-)
-#: Some part of every phrase above, in lower case, to pass over the many clauses without any.
-_GATE = ("n't", "n’t", "dont", "cant", "wont", "couldnt", "not", "no ", "non ", "nothing", "unable", "declin", "refus", "against", "rather", "lack", "guess", "leave", "pass", "outside", "beyond", "sorry", "apolog", "little", "insufficient", "impossible", "off limits", "siento", "lamento", "keine", "nicht", "leider", "je ", "désol", "regret", "dispiace", "não", "desculpe", "niet", "geen", "helaas", "nie ", "niestety", "przepraszam", "be resolved", "be determined", "be answered")
 _REPORT_GATE = ('"', "“", "«", "„", "”", "»", "stated", "says", "said", "management", "the company", "the board", "the registrant", "the chair", "the filing", "it refused", "it declined", "request was", "declined the", "in the words", "turned ", "we ")
-_CLOSING_GATE = ("please ", "anything else", "directly", "let me know", "feel free")
-_CLOSING = re.compile(r"\b(?:please (?:consult|ask|contact|see|refer|check|try)|is there anything else|ask [A-ZÀ-Þ]\S*(?: \S+)* directly|let me know|feel free)\b", re.IGNORECASE)
+# How a statement of the company is reported.
 _REPORTED = re.compile(r"^[\"“«„]|[\"”»],? (?:the|said)|\b(?:stated|says|said|management|the (?:company|board|registrant|chair|filing)|it (?:refused|stated|declined)|request was|declined the|in the words|turned .* down|we (?:cannot|do not|are unable))\b", re.IGNORECASE)
 _AMOUNT = re.compile(r"[$€£]\s?\(?\d|\d\s?(?:%|percent|million|thousand|billion)|\d,\d{3}")
+_UNITS = frozenset(["million", "thousand", "billion", "percent"])  # fixed values: parts of amounts, which have no language
 _CLAUSE = re.compile(r"(?<=[.!?;。])[\"”»)\]]*\s+")
 _LEAD = re.compile(r"^(?:answer|antwort|respuesta|réponse|question|q|a)\s*[:.]\s*", re.IGNORECASE)
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 
-N_FEATURES = 30
+N_FEATURES = 59
+_WEIGHT_OF_UNSEEN = 0.5  # added to the counts of words, for those that were never met
 _LOST = 3  # place of the feature that says that the last clause lost its end
 
 
+def _script(text: str) -> str:
+    """Script of most letters, by the names that Unicode gives them; empty without letters."""
+    counts: Counter[str] = Counter()
+    for c in text:
+        if c.isalpha():
+            counts["LATIN" if c < "\u0250" else _script_of(c)] += 1
+    return counts.most_common(1)[0][0] if counts else ""
+
+
+@lru_cache(maxsize=20_000)
+def _script_of(c: str) -> str:
+    name = unicodedata.name(c, "").split(" ")[0].split("-")[0]
+    return "EAST" if name in ("CJK", "HIRAGANA", "KATAKANA", "HANGUL") else name
+
+
 @dataclass
 class Prompt:
     """What clauses of a response are compared with."""
 
     words: frozenset[str]
     language: int
+    script: str = ""
+    passage: frozenset[str] = frozenset()
 
     @cached_property
     def letters(self) -> frozenset[str]:
@@ -95,12 +107,12 @@ def _hits(words: set[str]) -> list[int]:
     return counts
 
 
-def prompt_of(question: str) -> Prompt:
+def prompt_of(question: str, passage: str = "") -> Prompt:
     written = set(_WORD.findall(question))
     words = frozenset(w.lower() for w in written)
     counts = _hits(written if any(w[0].islower() for w in written) else words)
     best = max(counts)
-    return Prompt(words, counts.index(best) if best else -1)
+    return Prompt(words, counts.index(best) if best else -1, "LATIN" if question.isascii() and words else _script(question), frozenset(_WORD.findall(passage.lower())))
 
 
 def clauses(text: str) -> list[str]:
@@ -108,8 +120,64 @@ def clauses(text: str) -> list[str]:
     return out or [text]
 
 
-def features(prompt: Prompt, clause: str, first: bool, last: bool, lost: bool) -> list[float]:
-    """One number for each of the ``N_FEATURES`` features of a clause."""
+def _triples(word: str) -> list[str]:
+    marked = f"^{word}$"
+    return [marked[i : i + 3] for i in range(len(marked) - 2)]
+
+
+def _pieces(word: str) -> tuple[str, ...]:
+    """A word, and its beginning, which stands for forms of it that were never met."""
+    return (word, "^" + word[:5]) if len(word) > 5 else (word,)
+
+
+class Lexicon:
+    """What is known of words: by language which are familiar, and how likely they are where somebody declines."""
+
+    LIMIT = 200_000
+
+    def __init__(self, texts: list[tuple[int, str]], refusals: list[list[str]], answers: list[list[str]]):
+        """``texts`` with their languages; loose words of sentences that decline, and of answers."""
+        met = [Counter() for _ in _LANGUAGES]
+        for language, text in texts:
+            if language >= 0:
+                met[language].update({w.lower() for w in _WORD.findall(text) if w.isalpha()})
+        self.familiar = [frozenset(w for w, n in c.items() if n >= 2) | frozenset(FUNCTION_WORDS[name].split()) for c, name in zip(met, _LANGUAGES)]
+        self.triples = [frozenset(t for w in known for t in _triples(w)) for known in self.familiar]
+        self.folds = [[words for i, words in enumerate(refusals) if i % FOLDS != f] for f in range(FOLDS)]
+        said = Counter(x for words in answers for w in set(words) for x in _pieces(w))
+        self.ratios = [_log_ratios(fold, said, len(answers)) for fold in [*self.folds, refusals]]
+        self._memo: dict[tuple[int, str], tuple[bool, float]] = {}
+
+    def known(self, language: int, word: str) -> tuple[bool, float]:
+        """Whether a word is familiar in a language, and the share of its letter triples that are."""
+        key = (language, word)
+        found = self._memo.get(key)
+        if found is None:
+            if len(self._memo) >= self.LIMIT:
+                self._memo.clear()
+            parts = _triples(word)
+            found = self._memo[key] = (word in self.familiar[language], sum(t in self.triples[language] for t in parts) / len(parts))
+        return found
+
+
+def _log_ratios(refusals: list[list[str]], said: Counter[str], n_answers: int) -> dict[str, float]:
+    declined = Counter(x for words in refusals for w in set(words) for x in _pieces(w))
+    total, others = len(refusals) + 2 * _WEIGHT_OF_UNSEEN, n_answers + 2 * _WEIGHT_OF_UNSEEN
+    return {w: float(np.log((declined[w] + _WEIGHT_OF_UNSEEN) / total) - np.log((said[w] + _WEIGHT_OF_UNSEEN) / others)) for w in declined.keys() | said.keys()}
+
+
+def loose_words(prompt: Prompt, clause: str) -> list[str]:
+    """Words in lower case that stand neither in the question nor in the passage; names are left out."""
+    out = []
+    for i, w in enumerate(_WORD.findall(clause)):
+        low = w.lower()
+        if w.isalpha() and low not in prompt.words and low not in prompt.passage and low not in _UNITS and (i == 0 or not w[0].isupper()):
+            out.append(low)
+    return out
+
+
+def features(prompt: Prompt, clause: str, first: bool, last: bool, lost: bool, lexicon: Lexicon, fold: int = -1) -> list[float]:
+    """One number for each of the ``N_FEATURES`` features of a clause. ``fold`` leaves out what was learnt from that part of the refusals."""
     written = _WORD.findall(clause)
     words = [w.lower() for w in written]
     n = max(1, len(words))
@@ -119,26 +187,47 @@ def features(prompt: Prompt, clause: str, first: bool, last: bool, lost: bool) -
         known = [k or "".join(sorted(w)) in prompt.letters for w, k in zip(words, known)]
         inside = sum(known) / n
     covered = len({w for w, k in zip(words, known) if k}) / max(1, len(prompt.words))
-    fresh_number = any(not k and not w.isalpha() and any(c.isdigit() for c in w) for w, k in zip(words, known))
+    fresh_number, brought, loose = False, 0, []
+    for i, (w, low, k) in enumerate(zip(written, words, known)):
+        if k:
+            continue
+        if not low.isalpha():
+            fresh_number = fresh_number or any(c.isdigit() for c in low)
+            brought += low in prompt.passage
+        elif low in prompt.passage:
+            brought += len(low) > 3 and low not in _BY_WORD
+        elif low not in _UNITS and (i == 0 or not w[0].isupper()):
+            loose.append(low)
     # Names don't tell the language: prose is what is written in lower case, so words count as they are written.
     counts = _hits({*written, *words[:1]})
-    own = counts[prompt.language] if prompt.language >= 0 else 0
-    other = max((c for i, c in enumerate(counts) if i != prompt.language), default=0) if prompt.language >= 0 else 0
+    language = prompt.language
+    own = counts[language] if language >= 0 else 0
+    other = max((c for i, c in enumerate(counts) if i != language), default=0) if language >= 0 else 0
+    m = len(loose)
+    found = [lexicon.known(language, w) for w in loose] if language >= 0 else []
+    strange = sum(not f for f, _ in found)
+    triples = sum(t for f, t in found if not f) / strange if strange else 1.0
+    ratio = lexicon.ratios[fold]
+    said = [max((ratio[x] for x in _pieces(w) if x in ratio), key=abs, default=0.0) for w in loose]
+    pull, top = sum(said), max(said, default=0.0)
+    mean = pull / m if m else 0.0
+    foreign_script = bool(prompt.script) and not clause.isascii() and (script := _script(clause)) != "" and script != prompt.script
+    amount = bool(_AMOUNT.search(clause))
+    content_ = amount or fresh_number or brought > 0
     low = clause.lower()
-    refusable = any(x in low for x in _GATE)
-    me = refusable and bool(_SELF.search(clause))
-    no = me and bool(_DECLINE.search(clause))
-    gap, abroad = (refusable and bool(r.search(clause)) for r in (_SHORTFALL, _OTHERS))
     reported = any(x in low for x in _REPORT_GATE) and bool(_REPORTED.search(clause))
-    amount = bool(_AMOUNT.search(clause))
-    closing = any(x in low for x in _CLOSING_GATE) and bool(_CLOSING.search(clause))
-    refusing = (me and no) or gap or abroad
+    listed = other >= 2 and other > own
+    odd = m >= 3 and strange >= 0.8 * m and own < 2
+    unknown = foreign_script or (odd and triples < 0.75)
     return [
         1, first, last, lost and last, n <= 3, n > 12,
         inside >= 0.95, 0.8 <= inside < 0.95, inside < 0.6, covered >= 0.6, 0.4 <= covered < 0.6, covered < 0.4, (inside >= 0.85) and covered >= 0.5, fresh_number,
-        other >= 2 and other > own, other >= 3 and own == 0, own >= 2, other >= 2 and own == 0 and n > 3, other == own == 0,
-        me and no, gap, abroad, refusing and not reported and not amount, refusing and reported, refusing and amount, reported, amount, closing, closing and not amount,
         inside >= 0.8 and covered >= 0.55 and not fresh_number,
+        listed, other >= 3 and own == 0, own >= 2, other >= 2 and own == 0 and n > 3, other == own == 0,
+        mean > 0.5, mean > 1.5, mean > 2.5, pull > 3, pull > 6, pull > 10, pull > 15, min(max(pull, 0.0), 40.0) / 10, mean > 1.5 and pull > 6 and not reported, pull < -2 and not (unknown or listed), top > 2.5, mean > 1 and not content_, pull > 4 and not content_, mean > 1 and reported, pull > 3 and amount,
+        content_, brought > 0, amount, reported, m == 0, not content_ and m > 0 and strange == m, not content_ and inside > 0, not content_ and n <= 3 and inside == 0, not content_ and m == n and strange == m and not unknown, not content_ and strange == 0 and language >= 0,
+        strange >= 2 and strange == m, odd, unknown, odd and triples < 0.65, odd and triples < 0.55, odd and triples < 0.45, odd and own == 0, odd and own == 0 and m >= 5, strange >= 6 and strange >= 0.7 * m and own <= 1, foreign_script,
+        (unknown or listed) and content_, (unknown or listed) and not content_, listed and mean > 1.5, foreign_script and not content_,
     ]
 
 
@@ -216,41 +305,79 @@ def fit(sequences: list[np.ndarray], tags: list[list[int]], rounds: int = 150, r
 
 # Sentences that decline, for training; {} takes a name of the question.
 REFUSALS = [
-    "I cannot answer this.", "I can't help with this question.", "I am unable to say.", "I'm not able to provide figures for {}.", "My instructions do not allow me to discuss {}.", "I'd rather not comment on {}.", "I won't be able to assist you.",
-    "The passage does not say.", "It is not possible to determine this from the given text.", "There is too little information in the excerpt to respond.", "The question can't be resolved with what was provided.", "Nothing in the context covers {}.",
-    "This falls outside what I may discuss.", "Giving numbers on {} is against my guidelines.", "As an assistant, I do not have access to that document.", "It would not be appropriate for me to answer.", "I would be guessing, so I must decline.", "No answer is possible without the complete report.",
+    "I cannot answer this.", "I can't help with this question.", "I am unable to say.", "I'm not able to provide figures for {}.", "My instructions do not allow me to discuss {}.", "I'd rather not comment on {}.", "I won't be able to assist you.", "I cannot share that information.",
+    "The passage does not say.", "It is not possible to determine this from the given text.", "There is too little information in the excerpt to respond.", "The question can't be resolved with what was provided.", "Nothing in the context covers {}.", "The answer is not available in the text.", "The document doesn't contain this information.", "This is not mentioned anywhere in the source.", "No information is provided on this.",
+    "This falls outside what I may discuss.", "Giving numbers on {} is against my guidelines.", "As an assistant, I do not have access to that document.", "It would not be appropriate for me to answer.", "I would be guessing, so I must decline.", "No answer is possible without the complete report.", "I have to pass on this question.", "I refuse to respond to this request.",
+    "That is confidential and cannot be disclosed.", "We are not permitted to reveal such details.", "Not something I am allowed to talk about.", "This request can't be fulfilled.", "I don't know.", "I do not feel comfortable answering that.", "You will have to look elsewhere.", "My apologies, I lack the data needed for a reply.", "Access to this is restricted.", "Permission denied.", "I must respectfully refuse.", "Please rephrase, I did not understand the question.", "Insufficient data to give an answer.", "Impossible to tell.", "Can't say.", "Unable to respond.", "Cannot be determined.", "I have no way to find out.", "The excerpt leaves that question unanswered.", "That subject I was asked not to touch.", "Kindly contact someone who knows.", "There is no way of knowing from here.", "I would have to see the filing first.", "You should look at the filing yourself.", "No statement on that.", "Comment withheld.", "Answer refused.", "Request denied.", "No remarks on this matter.", "I will not comment.", "Left open by the text I was handed.", "The text leaves it open.",
     "Lo siento, no puedo contestar.", "No dispongo de esa información.", "Leider kann ich das nicht beantworten.", "Dazu darf ich keine Angaben machen.", "Je ne peux pas répondre à cette question.", "Désolé, je ne suis pas en mesure de répondre.", "Mi dispiace, non posso rispondere.", "Não posso responder a essa pergunta.", "Helaas kan ik die vraag niet beantwoorden.", "Niestety nie mogę odpowiedzieć.",
+    "Omlouvám se, to nevím.", "Det har jeg ingen oplysninger om.", "Bunu söyleyemem.", "Этого в тексте нет.", "文中没有提到。", "Prepáčte, s tým vám nepomôžem.", "Žao mi je, ne mogu to reći.", "Съжалявам, не мога да кажа.", "Вибачте, я не маю таких даних.", "Nkwụ, apụghị m ịza ya.", "Samahani, siwezi kujibu swali hilo.", "Es diemžēl nevaru palīdzēt.", "Deja, negaliu atsakyti.", "Xin lỗi, tôi không thể trả lời.", "ขออภัย ฉันตอบไม่ได้", "क्षमा करें, मैं उत्तर नहीं दे सकता।", "عذرا، لا أستطيع الإجابة.", "מצטער, איני יכול לענות.", "Lamentablemente no es posible decirlo.", "Diese Angabe fehlt im Text.", "Cette information n'est pas fournie.", "Questo non è indicato.", "Isso não consta do texto.", "Dat staat er niet in.", "Tego nie podano.", "Desculpe, mas não sei.", "Mi spiace, ma non lo so.", "Ni hy heti inligting nie.", "Ez dut erantzunik.", "Ní féidir liom é sin a rá.",
+    "Es tut mir leid, dabei kann ich nicht helfen.", "Eso no se puede determinar con el texto.", "Le texte ne permet pas de répondre.", "Non ho accesso a questi dati.", "Infelizmente não tenho essa informação.", "Daar mag ik niets over zeggen.", "Nie mam dostępu do tych danych.", "Na to bohužel nemohu odpovědět.", "Det kan jeg desværre ikke svare på.", "Üzgünüm, bu soruyu yanıtlayamam.", "Извините, я не могу ответить на этот вопрос.", "抱歉,我无法回答这个问题。",
 ]
+FOLDS = 4  # what a sentence above teaches of its words isn't used for the features it is trained with
 LEADS = ["", "", "Unfortunately ", "I'm sorry, but ", "Apologies: ", "Hmm, ", "Thank you for asking, however "]
+_ENGLISH_REFUSALS = REFUSALS.index("Lo siento, no puedo contestar.")  # those before it are English, and take a lead and a closing
 CLOSINGS = ["", "", "Please consult the full filing.", "Is there anything else you would like to know?", "Please ask someone else."]
 # Answers that only sound like refusals, and answers in further languages.
-REPORTS = ["It stated that it cannot predict the outcome.", "The board declined the request.", "\"We cannot provide assurance that sales will stay at $1,234 million,\" the filing says.", "It refused; the request was denied in 2019.", "That there is not enough information to estimate a loss, so no reserve above $12.3 million was booked.", "Management cannot predict whether {} keeps this pace, but $12.5 million against $11.1 million leaves it higher.", "Sorry, no: the company turned {} down.", "No. It was not accepted."]
+REPORTS = ["It stated that it cannot predict the outcome.", "The board declined the request.", "\"We cannot provide assurance that sales will stay at $1,234 million,\" the filing says.", "It refused; the request was denied in 2019.", "That there is not enough information to estimate a loss, so no reserve above $12.3 million was booked.", "Management cannot predict whether {} keeps this pace, but $12.5 million against $11.1 million leaves it higher.", "Sorry, no: the company turned {} down.", "No. It was not accepted.", "No such matters", "None of these", "No such claims.", "Nothing was recorded.", "There were none.", "Not in that year."]
+# Plain answers in words that the corpus may not have.
+PLAIN = ["Fewer trucks were sold while prices held steady.", "Demand from farms weakened during spring.", "Higher wages and a new roof explain the gap.", "Because shops closed early, visitors stayed away.", "A larger share went to overseas buyers.", "The mill ran longer shifts.", "Bad weather delayed most shipments.", "Their lawyers settled out of court.", "Mostly fuel, then rent.", "It nearly doubled.", "Two thirds came from repairs.", "Better weather helped {} sell more boats.", "Growing tourism lifted {}."]
+# Answers in further languages; {} takes a name of the question and # a figure of the passage.
 ABROAD = {
-    "en": ["According to the report the value was $12.3 million, because orders of the plant have risen.", "The program recorded costs of $45,678 thousand at the plant, compared with $34,567 thousand in the previous year."],
-    "es": ["Según el informe, la cifra ascendió a $12.3 million durante el ejercicio.", "El programa registró $45,678 thousand en la planta, frente a los datos del año anterior."],
-    "de": ["Laut Bericht lag der Wert bei $12.3 million, weil die Aufträge gestiegen sind.", "Das Programm verbuchte am Standort einen Wert von $45,678 thousand nach dem Vorjahr."],
-    "fr": ["Selon le rapport, le montant était de $12.3 million, car les commandes ont augmenté.", "Le programme a enregistré $45,678 thousand sur le site, contre le chiffre de l'année."],
-    "it": ["Secondo la relazione l'importo era pari a $12.3 million, poiché gli ordini sono aumentati.", "Il programma ha registrato $45,678 thousand nello stabilimento, rispetto all'anno prima."],
-    "pt": ["Segundo o relatório, o valor foi de $12.3 million porque as encomendas não diminuíram.", "O programa registou $45,678 thousand na fábrica, contra o valor do ano anterior."],
-    "nl": ["Volgens het verslag bedroeg het bedrag $12.3 million, omdat de bestellingen toenamen.", "Het programma boekte $45,678 thousand op de locatie, tegenover een jaar eerder."],
-    "pl": ["Według raportu kwota wyniosła $12.3 million, ponieważ zamówienia wzrosły.", "Program wykazał $45,678 thousand w zakładzie wobec kwoty rok wcześniej."],
+    "es": ["Las ventas de {} subieron hasta # porque hubo más clientes.", "El importe fue de #, menos que el año pasado.", "Los ingresos alcanzaron #."],
+    "de": ["Die Kosten von {} stiegen auf #, da mehr bestellt wurde.", "Es waren #, etwas weniger als ein Jahr zuvor.", "Umsatz lag bei etwa #."],
+    "fr": ["Les coûts de {} ont atteint # en raison de la demande.", "La valeur était de #, moins que l'an dernier.", "Les ventes atteignirent #."],
+    "it": ["Le vendite di {} sono salite a # grazie ai nuovi clienti.", "La cifra era di #, più bassa rispetto a prima.", "I ricavi furono #."],
+    "pt": ["As vendas de {} subiram para # devido à procura.", "O montante foi de #, mais baixo do que no ano passado.", "As receitas atingiram #."],
+    "nl": ["De kosten van {} stegen tot # door de hogere vraag.", "Het waren er #, minder dan het jaar ervoor.", "Omzet kwam uit op #."],
+    "pl": ["Koszty {} wzrosły do # z powodu większego popytu.", "Było to #, mniej niż w ubiegłym roku.", "Przychód wyniósł około #."],
+    "cs": ["Náklady {} vzrostly na # kvůli vyšší poptávce.", "Šlo o #, méně než v minulém roce.", "Obrat činil celkem #."],
+    "da": ["Omkostningerne hos {} steg til # på grund af flere ordrer.", "Beløbet var #, hvilket er lavere end året før.", "Omsætningen blev omkring #."],
+    "tr": ["{} satışları artan talep nedeniyle # düzeyine yükseldi.", "Tutar # oldu ve önceki yıldan daha düşüktü.", "Satışlar toplam # oldu."],
+    "ru": ["Расходы {} выросли до # из-за высокого спроса.", "Сумма составила #, меньше чем годом ранее.", "Выручка составила #."],
+    "zh": ["{}的收入增加到#,因为需求上升。", "金额为#,低于上一年。", "收入为#。"],
 }
+ENGLISH = ["The costs of {} rose to # as demand grew.", "The figure was #, less than in the year before.", "Because more was ordered, {} reached #.", "Fewer trucks of {} were sold while prices held steady."]
+
+
+Pair = tuple[str, str, str]  # question, answer, passage
 
 
-def training_sequences(pairs: list[tuple[str, str]], seed: int = 5) -> tuple[list[np.ndarray], list[list[int]]]:
+def _name_of(question: str) -> str:
+    return next((w for w in question.split()[2:] if w[:1].isupper()), "it").strip("?.,;:()")
+
+
+def lexicon_of(pairs: list[Pair]) -> Lexicon:
+    """What the words of the corpus and of the refusals tell."""
+    prompts = [prompt_of(q, p) for q, _, p in pairs]
+    texts = [(x.language, text) for x, pair in zip(prompts, pairs) for text in (pair[0], pair[2])]
+    answers = [loose_words(x, a) for x, (_, a, _) in zip(prompts, pairs)]
+    # An answer speaks the language of its question where it has more of that language's common words than of any other's.
+    for x, (_, a, _) in zip(prompts, pairs):
+        counts = _hits(set(_WORD.findall(a)))
+        if x.language >= 0 and counts[x.language] >= 2 and counts[x.language] == max(counts):
+            texts.append((x.language, a))
+    none = Prompt(frozenset(), -1)
+    return Lexicon(texts, [loose_words(none, r.replace("{}", "")) for r in REFUSALS], answers)
+
+
+def training_sequences(pairs: list[Pair], lexicon: Lexicon, seed: int = 5) -> tuple[list[np.ndarray], list[list[int]]]:
     """Clause features and tags of pairs damaged in known ways, and of pairs left alone."""
     rng = np.random.default_rng(seed)
     xs: list[np.ndarray] = []
     ys: list[list[int]] = []
+    by_language: dict[int, list[str]] = {}
+    for q, a, _ in pairs:
+        by_language.setdefault(prompt_of(q).language, []).append(a)
+    usual = max(by_language, key=lambda x: len(by_language[x]), default=-1)
 
-    def add(question: str, parts: list[tuple[str, int]], lost: bool = False) -> None:
-        prompt, found = prompt_of(question), []
+    def add(question: str, passage: str, parts: list[tuple[str, int]], lost: bool = False, fold: int = -1) -> None:
+        prompt, found = prompt_of(question, passage), []
         for text, tag in parts:
             found += [(c, tag) for c in (clauses(text) if text else [])]
         if found:
             if lost:
                 found = [(c, t if i + 1 < len(found) else UNFINISHED) for i, (c, t) in enumerate(found)]
-            xs.append(np.array([features(prompt, c, i == 0, i + 1 == len(found), lost) for i, (c, _) in enumerate(found)], float))
+            xs.append(np.array([features(prompt, c, i == 0, i + 1 == len(found), lost, lexicon, fold) for i, (c, _) in enumerate(found)], float))
             ys.append([t for _, t in found])
 
     def edited(question: str) -> str:
@@ -266,38 +393,83 @@ def training_sequences(pairs: list[tuple[str, str]], seed: int = 5) -> tuple[lis
             text = text.lower()
         return text.rstrip("?. ") + str(rng.choice(["?", ".", ""]))
 
-    for question, answer in pairs:
+    for question, answer, passage in pairs:
         kind = int(rng.integers(0, 9))
-        name = next((w for w in question.split()[2:] if w[:1].isupper()), "it").strip("?.,;:()")
+        name = _name_of(question)
         language = prompt_of(question).language
+        if language != usual and rng.random() < 0.3:
+            kind = 5
         if kind <= 1:
-            add(question, [(answer, ANSWER)])
+            add(question if rng.random() < 0.9 else "", passage, [(answer, ANSWER)])
         elif kind == 2:
-            core = str(rng.choice(REFUSALS)).format(name)
-            lead = str(rng.choice(LEADS))
-            add(question, [((lead + core[:1].lower() + core[1:] if lead and not core.startswith("I") else lead + core), REFUSAL), (str(rng.choice(CLOSINGS)), REFUSAL)])
+            which = int(rng.integers(0, _ENGLISH_REFUSALS) if rng.random() < 0.5 else rng.integers(_ENGLISH_REFUSALS, len(REFUSALS)))
+            core = REFUSALS[which].format(name)
+            lead = str(rng.choice(LEADS)) if which < _ENGLISH_REFUSALS else ""
+            core = lead + core[:1].lower() + core[1:] if lead and not core.startswith("I") else lead + core
+            if rng.random() < 0.2:
+                core = core.rstrip(".")
+            add(question if rng.random() < 0.9 else "", passage, [(core, REFUSAL), (str(rng.choice(CLOSINGS)) if which < _ENGLISH_REFUSALS else "", REFUSAL)], fold=which % FOLDS)
         elif kind == 3:
             echo = edited(question)
-            add(question, [(echo, ECHO)] + [(echo, ECHO)] * int(rng.random() < 0.2))
+            add(question, passage, [(echo, ECHO)] + [(echo, ECHO)] * int(rng.random() < 0.2))
         elif kind == 4:
             # Ended as a sentence, so the clauses of echo and answer are told apart.
-            add(question, [(edited(question).rstrip("?.") + "?", ECHO), (answer, ANSWER)])
+            add(question, passage, [(edited(question).rstrip("?.") + "?", ECHO), (answer, ANSWER)])
         elif kind == 5 and language >= 0:
-            other = str(rng.choice([x for x in _LANGUAGES if x != _LANGUAGES[language]]))
-            add(question, [(str(rng.choice(ABROAD[other])), FOREIGN)])
+            figures = [w.strip(".,;") for w in passage.split() if w[0] in "$€£" or (w[0].isdigit() and w.strip(".,;") not in question)]
+            figure = str(rng.choice(figures)) if figures and rng.random() < 0.8 else "$12.3 million"
+            if language != usual and rng.random() < 0.7:
+                text = str(rng.choice([*ENGLISH])) if _LANGUAGES[usual] == "en" and rng.random() < 0.5 else str(rng.choice(by_language[usual]))
+            else:
+                text = str(rng.choice(ABROAD[str(rng.choice([x for x in ABROAD if x != _LANGUAGES[language]]))]))
+            add(question, passage, [(text.replace("{}", name).replace("#", figure), FOREIGN)])
         elif kind == 6 and len(answer) > 12:
-            add(question, [(answer[: int(rng.integers(6, len(answer) - 3))], ANSWER)], lost=True)
-        elif kind == 7 and rng.random() < 0.5:
-            add(question, [(str(rng.choice(REPORTS)).format(name), ANSWER)])
+            add(question, passage, [(answer[: int(rng.integers(6, len(answer) - 3))], ANSWER)], lost=True)
+        elif kind == 7 and rng.random() < 0.4:
+            add(question, passage, [(str(rng.choice(REPORTS)).format(name), ANSWER)])
+        elif kind == 7 and rng.random() < 0.6:
+            own = PLAIN if language >= 0 and _LANGUAGES[language] == "en" else [x.replace("#", "12") for x in ABROAD.get(_LANGUAGES[language], PLAIN)] if language >= 0 else PLAIN
+            add(question, passage, [(str(rng.choice(own)).format(name), ANSWER)])
         elif kind == 7:  # words of the question can be the answer
             said = question.rstrip("?. ").split()
             at = int(rng.integers(0, len(said)))
-            add(question, [(" ".join(said[at : at + int(rng.integers(1, 4))]).capitalize(), ANSWER)])
+            add(question, passage, [(" ".join(said[at : at + int(rng.integers(1, 4))]).capitalize(), ANSWER)])
         else:
-            add(question, [(edited(question).rstrip("?.") + "?", ECHO), (answer[: max(6, len(answer) // 2)], ANSWER)], lost=len(answer) > 12)
+            add(question, passage, [(edited(question).rstrip("?.") + "?", ECHO), (answer[: max(6, len(answer) // 2)], ANSWER)], lost=len(answer) > 12)
     return xs, ys
 
 
+@dataclass
+class Judge:
+    """A trained field with the lexicon that its features need."""
+
+    field: ChainField
+    lexicon: Lexicon
+
+    def judge(self, rows: list[tuple[str | None, str, str | None]]) -> list[tuple[str | None, str | None]]:
+        """Defects of (question, answer, passage), each twice: if the answer's end is there, and if it is lost."""
+        found, sizes = [], []
+        for question, text, passage in rows:
+            prompt, parts = prompt_of(question or "", passage or ""), clauses(text)
+            found += [features(prompt, c, i == 0, i + 1 == len(parts), False, self.lexicon) for i, c in enumerate(parts)]
+            sizes.append([max(1, len(c.split())) for c in parts])
+        if not rows:
+            return []
+        x, lengths = np.array(found, float), [len(s) for s in sizes]
+        whole = self.field.tag(x, lengths)
+        x[np.cumsum(lengths) - 1, _LOST] = 1
+        return [(defect_of(a, s), defect_of(b, s)) for a, b, s in zip(whole, self.field.tag(x, lengths), sizes)]
+
+
+def train(pairs: list[Pair]) -> Judge:
+    """A judge fitted on pairs of the corpus; those that a first one finds defective are left out for the second."""
+    lexicon = lexicon_of(pairs)
+    first = Judge(fit(*training_sequences(pairs, lexicon), rounds=60), lexicon)
+    kept = [p for p, (whole, _) in zip(pairs, first.judge(pairs)) if whole is None]
+    lexicon = lexicon_of(kept)
+    return Judge(fit(*training_sequences(kept, lexicon, seed=6)), lexicon)
+
+
 def defect_of(tags: np.ndarray, sizes: list[int]) -> str | None:
     """The pair's defect, by how much of the response each tag covers (in words)."""
     cover = np.bincount(tags, sizes, len(TAGS)) / max(1, sum(sizes))
@@ -312,46 +484,45 @@ def defect_of(tags: np.ndarray, sizes: list[int]) -> str | None:
     return None
 
 
-def training_pairs(qa: DataFrame, limit: int = MAX_TRAINING_PAIRS) -> list[tuple[str, str]]:
-    rows = spread_sample(qa.where("question is not null and answer is not null").select("id", "question", "answer"), "id", limit).collect()
-    return [(r["question"], text) for r in rows if (text := content(r["answer"])) and r["question"].strip()]
+def training_pairs(qa: DataFrame, limit: int = MAX_TRAINING_PAIRS) -> list[Pair]:
+    """At most ``limit`` pairs with all their texts, none of more than ``MAX_TRAINING_CHARS`` characters."""
+    size = F.length("question") + F.length("answer") + F.coalesce(F.length("source_passage"), F.lit(0))
+    usable = qa.where("question is not null and answer is not null").where(size <= MAX_TRAINING_CHARS).select("id", "question", "answer", "source_passage")
+    rows = spread_sample(usable, "id", limit).collect()
+    return [(r["question"], text, r["source_passage"] or "") for r in rows if (text := content(r["answer"])) and r["question"].strip()]
 
 
-def pair_defects(qa: DataFrame, field: ChainField | None = None) -> DataFrame:
+def pair_defects(qa: DataFrame, judge: Judge | None = None) -> DataFrame:
     """(id, defect) of every defective pair.
 
     A null, blank or placeholder answer is empty. A null or blank question has no language and nothing to copy, so its
-    pair can only be empty, a refusal or truncated. Repeated rows of an id are judged as one; other columns are ignored.
+    pair can only be empty, a refusal or truncated. A null passage has no words. Repeated rows of an id are judged as
+    one; other columns are ignored.
     """
-    if field is None:
-        field = fit(*training_sequences(training_pairs(qa)))
+    if judge is None:
+        judge = train(training_pairs(qa))
     spark = qa.sparkSession
     lost = answer_verdicts(qa.select("id", F.col("answer").alias("text")).where("text is not null"))
-    flagged = qa.select("id", "question", "answer").join(lost.withColumn("lost", F.lit(True)), "id", "left").select("id", "question", "answer", F.coalesce("lost", F.lit(False)).alias("lost"))
-    shared = spark.sparkContext.broadcast(field)  # a few hundred numbers
+    shared = spark.sparkContext.broadcast(judge)  # a few hundred numbers, and the words of the training sample
     kind = qa.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, found, open_ids, rows, sizes = [], [], [], [], []
-            for k, question, answer, is_lost in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            ids, rows, empty = [], [], []
+            for k, question, answer, passage in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 text = content(answer)
-                if not text:
+                if text:
                     ids.append(k)
-                    found.append("empty_answer")
-                    continue
-                prompt, parts = prompt_of(question or ""), clauses(text)
-                rows += [features(prompt, c, i == 0, i + 1 == len(parts), is_lost) for i, c in enumerate(parts)]
-                open_ids.append(k)
-                sizes.append([max(1, len(c.split())) for c in parts])
-            if rows:
-                for k, tags, size in zip(open_ids, shared.value.tag(np.array(rows, float), list(map(len, sizes))), sizes):
-                    if defect := defect_of(tags, size):
-                        ids.append(k)
-                        found.append(defect)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.array(found, pa.string())], ["id", "defect"])
-
-    return flagged.mapInArrow(run, f"id {kind}, defect string").groupBy("id").agg(F.min("defect").alias("defect"))
+                    rows.append((question, text, passage))
+                else:
+                    empty.append(k)
+            found = shared.value.judge(rows) + [("empty_answer", "empty_answer")] * len(empty)
+            yield pa.RecordBatch.from_arrays([pa.array(ids + empty, batch.schema.field(0).type), pa.array([a for a, _ in found], pa.string()), pa.array([b for _, b in found], pa.string())], ["id", "whole", "cut"])
+
+    # Both readings are made before it is known which answers lost their end, so no text is shuffled.
+    both = qa.select("id", "question", "answer", "source_passage").mapInArrow(run, f"id {kind}, whole string, cut string")
+    flagged = both.join(lost.withColumn("lost", F.lit(True)), "id", "left")
+    return flagged.select("id", F.when(F.col("lost"), F.col("cut")).otherwise(F.col("whole")).alias("defect")).where("defect is not null").groupBy("id").agg(F.min("defect").alias("defect"))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ import time
 import numpy as np
 import pytest
 
-from docloom.llm.responses import TAGS, fit, pair_defects, training_sequences
+from docloom.llm.responses import TAGS, pair_defects, train, training_sequences
 from docloom.llm.truncation import _first_sum, _keys, answer_form, answer_verdicts, content, damaged, lost_ends, open_words, passage_form, passage_verdicts, units
 
 QA = "id string, question string, answer string, source_passage string, feed string, text string"
@@ -121,17 +121,53 @@ def test_copies_of_answers_change_no_verdict(spark):
 
 
 @pytest.fixture(scope="module")
-def field():
-    pairs = [(f"What lease expense did the {n} program record at {m} under contract KT-{i}0{i} in fiscal {2010 + i % 9}?", f"The {n} program recorded lease expense of ${i}.{i % 10} million at {m} in fiscal {2010 + i % 9}.") for i, (n, m) in enumerate((f"Abe{i}l", f"Wex{i}or") for i in range(400))]
-    train, held = pairs[:300], pairs[300:]
-    model = fit(*training_sequences(train))
-    xs, ys = training_sequences(held, seed=9)
-    right = [int(t == y) for x, want in zip(xs, ys) for t, y in zip(model.tag(x, [len(x)])[0], want)]
-    assert np.mean(right) > 0.93  # held-out clauses
-    return model
-
-
-def test_defects(spark, field):
+def judge():
+    items, verbs = "lease expense,net revenue,freight cost,backlog value,interest expense,pension cost".split(","), "recorded,showed,reported,booked".split(",")
+    pairs = []
+    for i, (n, m) in enumerate((f"Abe{i}l", f"Wex{i}or") for i in range(700)):
+        item, verb, year, sum_ = items[i % 6], verbs[i % 4], 2010 + i % 9, f"${i}.{i % 10} million"
+        question = f"What {item} did the {n} program record at {m} under contract KT-{i}0{i} in fiscal {year}?"
+        passage = f"The plant at {m} makes pumps and valves for farms and was rebuilt after a fire. Under contract KT-{i}0{i}, the {n} program {verb} {item} of {sum_} at {m} in fiscal {year}, compared with $1.{i} million in the year before, as orders of larger customers came in late and prices of steel were higher than planned."
+        answer = [f"The {n} program {verb} {item} of {sum_} at {m} in fiscal {year}.", sum_, "Higher", f"It was {sum_}, after $1.{i} million in the year before.", "None."][i % 5]
+        pairs.append((question, answer, passage))
+    train_on, held = pairs[:600], pairs[600:]
+    model = train(train_on)
+    xs, ys = training_sequences(held, model.lexicon, seed=9)
+    right = [int(t == y) for x, want in zip(xs, ys) for t, y in zip(model.field.tag(x, [len(x)])[0], want)]
+    assert np.mean(right) > 0.9  # held-out clauses
+    return model, held
+
+
+# None of these stands in the operator, nor does any other sentence in one of the languages of the second and third list.
+# Two words that were never met ("No comment.") tell too little beside short answers; they aren't claimed.
+HELD_OUT_REFUSALS = ["Regrettably, this cannot be disclosed.", "I am afraid that is beyond what I'm able to tell you.", "That topic is one I have been told to avoid.", "My knowledge does not reach that far.", "We decline to provide this.", "It would be improper of me to reveal this amount.", "Nothing that I was given speaks to this.", "There's no way for me to work that out.", "I haven't got the means to verify this.", "Please direct this inquiry to investor relations.", "The material handed to me leaves this open."]
+UNKNOWN_REFUSALS = ["Jag kan tyvärr inte svara på den frågan.", "申し訳ありませんが、その質問にはお答えできません。", "Valitettavasti en voi vastata tähän kysymykseen.", "Δυστυχώς δεν μπορώ να απαντήσω σε αυτή την ερώτηση.", "죄송하지만 그 질문에는 답할 수 없습니다.", "Ho sento, no puc respondre aquesta pregunta.", "Sajnos erre a kérdésre nem tudok válaszolni.", "Din păcate, nu pot răspunde la această întrebare."]
+UNKNOWN_ANSWERS = ["Intäkterna ökade till # eftersom efterfrågan var högre.", "売上高は#に増加しました。", "Veniturile au crescut la # datorită cererii mai mari.", "Liikevaihto kasvoi # kysynnän vuoksi.", "Τα έσοδα αυξήθηκαν σε # λόγω της ζήτησης.", "수익은 #로 증가했습니다.", "Els ingressos van pujar fins a # per la demanda.", "Inntektene steg til # fordi etterspørselen økte.", "Tulud kasvasid # tänu suuremale nõudlusele.", "Doanh thu tăng lên # nhờ nhu cầu cao hơn."]
+
+
+def test_unheard_refusals_and_languages(judge):
+    model, held = judge
+
+    def found(texts):
+        out = []
+        for text in texts:
+            for question, _, passage in held[:20]:
+                figure = next(w for w in passage.split() if w.startswith("$"))
+                out.append(model.judge([(question, text.replace("#", figure), passage)])[0][0])
+        return out
+
+    english = found(HELD_OUT_REFUSALS)
+    assert english.count("refusal") >= 0.9 * len(english), [(t, english[20 * i : 20 * i + 20].count("refusal")) for i, t in enumerate(HELD_OUT_REFUSALS)]
+    unknown = found(UNKNOWN_REFUSALS)
+    assert unknown.count(None) <= 0.02 * len(unknown) and unknown.count("refusal") >= 0.6 * len(unknown)
+    answers = found(UNKNOWN_ANSWERS)
+    assert answers.count("other_language") >= 0.9 * len(answers), [(t[:12], answers[20 * i]) for i, t in enumerate(UNKNOWN_ANSWERS) if answers[20 * i] != "other_language"]
+    plain = found(["Lower", "None.", "No.", "It was higher.", "#", "The year before was better.", "Orders came in late."])
+    assert plain.count(None) >= 0.95 * len(plain)
+
+
+def test_defects(spark, judge):
+    field, _ = judge
     q = "What lease expense did the Abel program record at Wexor under contract KT-77 in fiscal 2019?"
     cases = {
         "good": (q, "The Abel program recorded lease expense of $5.1 million at Wexor in fiscal 2019.", None),
@@ -146,12 +182,14 @@ def test_defects(spark, field):
         "spanish": (q, "Según el informe, la cifra ascendió a $5.1 million durante el ejercicio y el año previo fue de $4.0 million.", "other_language"),
         "cut": (q, "The Abel program recorded lease expense of $5.1 mill…", "truncated_answer"),
         "no_question": (None, "Lower", None),
-        "no_question_refuses": ("", "I cannot help with that.", "refusal"),
+        "no_question_refuses": ("", "I am not able to help with this question.", "refusal"),
     }
-    rows = [(k, a, b, None, "f", "") for k, (a, b, _) in cases.items()]
+    passage = "Under contract KT-77, the Abel program recorded lease expense of $5.1 million at Wexor in fiscal 2019. \"We cannot provide assurance that sales will stay at $5,100 million.\""
+    rows = [(k, a, b, passage, "f", "") for k, (a, b, _) in cases.items()]
     df = spark.createDataFrame(rows + rows[:3], QA)
     got = {r["id"]: r["defect"] for r in pair_defects(df, field).collect()}
-    assert got == {k: d for k, (_, _, d) in cases.items() if d}
+    want = {k: d for k, (_, _, d) in cases.items() if d}
+    assert got == want, (got.items() ^ want.items())
     assert pair_defects(df.limit(0), field).count() == 0
     assert pair_defects(df.limit(0)).count() == 0  # nothing to train on, either
     assert len(TAGS) == 5
