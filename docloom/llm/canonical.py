@@ -1,10 +1,14 @@
 """Visually identical text with different characters (problem 2).
 
-A transducer reads grapheme clusters (a sign with the marks and invisible characters after it), takes the longest match
-of a precomputed mapping, and writes one form: full width and joined forms become plain letters, every kind of blank a
-space, invisible characters nothing, base letter and accent one letter, look-alikes of other scripts the Latin letter
-they look like. The mapping is built by rule from the Unicode character database plus one short list of look-alikes,
-and checked for conflicts: no result may itself be mapped further, and signs that look different are kept apart.
+A transducer reads grapheme clusters and writes one form: full and half width and joined forms become plain letters,
+every kind of blank a space, invisible characters nothing, base letter and marks one letter where there is one,
+look-alikes of other scripts the Latin letter they look like. It is compiled once, from the Unicode character database
+and one short list of look-alikes, into two tables: what each character is read as, and which letter follows from a
+letter and the sign after it (accents, voicing marks of kana, marks of Arabic and Indic letters, parts of Hangul
+syllables). In a cluster the longest chain of such steps is taken; marks that lead nowhere are kept in canonical order.
+
+The tables are checked for conflicts when they are compiled: rules must not disagree, every result must be read as
+itself, and signs that look different must not be touched.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ import re
 import sys
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import pyarrow as pa
@@ -32,6 +37,10 @@ LOOK_ALIKES = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ϲ": "C", "Ϳ": "J",
     # Armenian, and further Latin forms
     "օ": "o", "հ": "h", "ո": "n", "ս": "u", "ց": "g", "զ": "q", "ԛ": "q", "Օ": "O", "Տ": "S", "Ս": "U", "Լ": "L", "ɡ": "g", "ɑ": "a", "ⲟ": "o",
+    # Cherokee
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
+    # The micro sign and the Greek letter
+    "µ": "μ",
     # Hyphens of one shape
     "‐": "-", "‑": "-", "﹣": "-",
 }
@@ -55,6 +64,8 @@ def _by_rule(ch: str) -> str | None:
         return "\n"
     if kind == "Cf" or ch in _INVISIBLE_EXTRA or 0xFE00 <= code <= 0xFE0F or 0xE0100 <= code <= 0xE01EF:
         return ""
+    if kind == "Lo" and (0x1100 <= code <= 0x11FF):
+        return None  # parts of Hangul syllables, which steps put together
     form = unicodedata.decomposition(ch)
     if form.startswith(("<wide>", "<narrow>")):
         return "".join(chr(int(x, 16)) for x in form.split()[1:])
@@ -70,7 +81,7 @@ def mapping() -> dict[str, str]:
     """Single characters that change, each with its final form; raises MappingConflict if the rules don't agree."""
     out: dict[str, str] = {}
     for code in range(sys.maxunicode + 1):
-        if 0xD800 <= code <= 0xDFFF or 0xAC00 <= code <= 0xD7A3 or 0x3400 <= code <= 0x9FFF or 0x20000 <= code < 0xE0000 or code >= 0xE0FFF:
+        if 0xD800 <= code <= 0xDFFF or 0xAC00 <= code <= 0xD7A3 or 0x3400 <= code <= 0x9FFF or 0x20000 <= code < 0x2F800 or 0x2FA20 <= code < 0xE0000 or code >= 0xE0FFF:
             continue
         ch = chr(code)
         ruled, listed = _by_rule(ch), LOOK_ALIKES.get(ch)
@@ -90,23 +101,104 @@ def mapping() -> dict[str, str]:
     return out
 
 
-@cache
-def _clusters() -> re.Pattern[str]:
-    """A sign with what combines with it, wherever a change may be due; all else is passed over."""
-    marks = "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0x300, 0x36F), (0x483, 0x489), (0x1AB0, 0x1AFF), (0x1DC0, 0x1DFF), (0x20D0, 0x20FF), (0xFE20, 0xFE2F)))
-    gone = "".join(re.escape(k) for k, v in mapping().items() if v == "" and ord(k) < 0x10000)
-    keys = "".join(re.escape(k) for k, v in mapping().items() if v != "" and ord(k) < 0x10000)
-    split = "".join(re.escape(chr(c)) for c in range(0xC0, 0x2100) if _decomposed_look_alike(chr(c)))
-    return re.compile(f"[^{marks}{gone}\n\r]?[{marks}{gone}]+|[{keys}{split}]|[\U000e0000-\U000e0fff]|\r\n?", re.DOTALL)
+@dataclass(frozen=True)
+class Transducer:
+    """The compiled tables, and the pattern of clusters in which anything may change."""
+
+    reads: dict[str, str]  # a character, as letters and marks of the final script and width
+    steps: dict[tuple[str, str], str]  # a letter and the sign after it, as one letter
+    order: dict[str, int]  # canonical class of each mark
+    clusters: re.Pattern[str]
+
+    def write(self, cluster: str) -> str:
+        """The one form of a cluster."""
+        if cluster[:1] == "\r":
+            return "\n" + self.write(cluster.lstrip("\r\n")) if cluster.lstrip("\r\n") else "\n"
+        signs = [c for x in cluster for c in self.reads.get(x, x)]
+        order, steps = self.order, self.steps
+        at = 0
+        while at < len(signs):  # marks into canonical order, those of one class as they stand
+            end = at
+            while end < len(signs) and signs[end] in order:
+                end += 1
+            if end - at > 1:
+                signs[at:end] = sorted(signs[at:end], key=order.__getitem__)
+            at = max(end, at + 1)
+        out: list[str] = []
+        letter, last = -1, 0  # place of the letter that marks may join, and the class of the last mark that stays
+        for c in signs:
+            rank = order.get(c, 0)
+            if letter >= 0 and (last < rank or (last == 0 and letter == len(out) - 1)) and (joined := steps.get((out[letter], c))):
+                out[letter] = joined
+                continue
+            if rank == 0:
+                letter, last = len(out), 0
+            else:
+                last = rank
+            out.append(c)
+        return "".join(out)
+
+
+def _ranges(chars: set[str]) -> str:
+    """The characters as the inside of a class of a regular expression."""
+    codes, parts = sorted(map(ord, chars)), []
+    for code in codes:
+        if parts and parts[-1][1] == code - 1:
+            parts[-1][1] = code
+        else:
+            parts.append([code, code])
+    return "".join(f"\\U{a:08x}" + (f"-\\U{b:08x}" if b > a else "") for a, b in parts)
 
 
-def _decomposed_look_alike(ch: str) -> bool:
-    """A composed letter whose base looks like a Latin one, such as Cyrillic or Greek letters with accents."""
-    parts = unicodedata.normalize("NFD", ch)
-    return len(parts) > 1 and parts[0] in LOOK_ALIKES
+@cache
+def transducer() -> Transducer:
+    """Compile the tables; raises MappingConflict if they don't agree."""
+    singles = mapping()
+    reads: dict[str, str] = dict(singles)
+    steps: dict[tuple[str, str], str] = {}
+    order: dict[str, int] = {}
+    marks: set[str] = set()
+    for code in range(sys.maxunicode + 1):
+        if 0xD800 <= code <= 0xDFFF or 0xAC00 <= code <= 0xD7A3 or 0xE000 <= code <= 0xF8FF or 0x3400 <= code <= 0x9FFF or 0x20000 <= code < 0x2F800 or code >= 0xF0000:
+            continue
+        ch = chr(code)
+        if (rank := unicodedata.combining(ch)) and ch not in singles:
+            order[ch] = rank
+        if unicodedata.category(ch)[0] == "M":
+            marks.add(ch)
+        form = unicodedata.decomposition(ch)
+        if form and form[0] != "<":
+            parts = [chr(int(x, 16)) for x in form.split()]
+            if len(parts) == 2 and unicodedata.normalize("NFC", ch) == ch:
+                steps[parts[0], parts[1]] = ch
+        whole = unicodedata.normalize("NFD", singles.get(ch, ch))
+        final = "".join(singles.get(c, c) for c in whole)
+        if final != ch and (len(whole) > 1 or ch in singles):
+            reads[ch] = final
+    # By rule: a Hangul syllable is read as it is, and made of two parts, or of one of two parts and a third.
+    for lead in range(19):
+        for vowel in range(21):
+            two = 0xAC00 + (lead * 21 + vowel) * 28
+            steps[chr(0x1100 + lead), chr(0x1161 + vowel)] = chr(two)
+            for tail in range(1, 28):
+                steps[chr(two), chr(0x11A7 + tail)] = chr(two + tail)
+    followers = marks | {b for _, b in steps} | {c for c, r in reads.items() if r == ""} | {c for c, r in reads.items() if r and (r[0] in marks)}
+    # A letter that its own parts lead back to needs no reading where it stands alone.
+    alone = Transducer(reads, steps, order, re.compile(""))
+    keys = {c for c in reads if alone.write(c) != c}
+    pattern = re.compile(f"[^{_ranges(followers)}\n\r]?[{_ranges(followers)}]+|[{_ranges(keys)}]|\r\n?")
+    out = Transducer(reads, steps, order, pattern)
+    for c in reads:
+        once = out.write(c)
+        if out.write(once) != once and "".join(map(out.write, once)) != once:
+            raise MappingConflict(f"{c!r} leads to {once!r}, which is read otherwise")
+    for c in KEPT_APART:
+        if out.write(c) != c:
+            raise MappingConflict(f"{c!r} must stay as it is")
+    return out
 
 
-class _Transducer(dict):
+class _Memo(dict):
     """Output of each cluster met so far; emptied when full."""
 
     LIMIT = 100_000
@@ -114,17 +206,11 @@ class _Transducer(dict):
     def __missing__(self, cluster: str) -> str:
         if len(self) >= self.LIMIT:
             self.clear()
-        table_ = mapping()
-        if cluster in ("\r", "\r\n"):
-            result = "\n"
-        else:
-            plain = "".join(table_.get(c, c) for c in unicodedata.normalize("NFD", "".join(table_.get(c, c) for c in cluster)))
-            result = unicodedata.normalize("NFC", plain)
-        self[cluster] = result
+        result = self[cluster] = transducer().write(cluster)
         return result
 
 
-_outputs = _Transducer()
+_outputs = _Memo()
 
 
 def canonical_text(text: str | None) -> str | None:
@@ -133,9 +219,9 @@ def canonical_text(text: str | None) -> str | None:
         return None
     if text.isascii():
         if "\r" in text or "\t" in text or "\x0b" in text or "\x0c" in text:
-            return _clusters().sub(lambda m: _outputs[m.group()], text)
+            return transducer().clusters.sub(lambda m: _outputs[m.group()], text)
         return text
-    return _clusters().sub(lambda m: _outputs[m.group()], text)
+    return transducer().clusters.sub(lambda m: _outputs[m.group()], text)
 
 
 def canonical_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,8 +291,48 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonicalize(canonical_records(spark, sf_dir)).select("record_kind", "record_id", F.lower(F.hex("form")).alias("form"), "canonical_text").dropDuplicates(["record_kind", "record_id"])
+    """Each record's one form, and the digest that is equal for records that look the same: its class."""
+    forms = canonicalize(canonical_records(spark, sf_dir)).dropDuplicates(["record_kind", "record_id"])
+    return forms.select("record_kind", "record_id", F.md5("canonical_text").alias("form"), "canonical_text")
 
 
 QUERIES = {"p2_found": p2_found, "p2_canonical": p2_canonical}
-SQL: dict[str, str] = {}
+
+
+def _sql_form(text: str) -> str:
+    """The one form as an SQL expression: the same readings, with the database's own composition of letters and marks."""
+    reads = transducer().reads
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    hangul = {c for c in reads if 0x1100 <= ord(c) <= 0x11FF}
+    one = {k: unicodedata.normalize("NFC", v) for k, v in reads.items() if v and k not in hangul}
+    single = {k: v for k, v in one.items() if len(v) == 1 and k != v}
+    several = {k: v for k, v in one.items() if len(v) > 1 and unicodedata.normalize("NFC", k) != v}
+    gone = "".join(f"\\x{{{ord(k):x}}}" for k, v in reads.items() if v == "")
+    text = f"regexp_replace(regexp_replace({text}, '\\r\\n?', chr(10), 'g'), '[{gone}]', '', 'g')"
+    for k, v in several.items():
+        if ord(k) < 0x2200 or 0xFB00 <= ord(k) <= 0xFB17:
+            text = f"replace({text}, {quoted(k)}, {quoted(v)})"
+    return f"nfc_normalize(translate({text}, {quoted(''.join(single))}, {quoted(''.join(single.values()))}))"
+
+
+_RECORDS = """
+        WITH r AS (
+            SELECT 'chunk' AS record_kind, chunk_id AS record_id, text AS raw FROM chunks WHERE text IS NOT NULL
+            UNION ALL SELECT 'table', table_id, array_to_string(list_transform(cell_rows, lambda r: array_to_string(list_transform(coalesce(r, []), lambda c: coalesce(c, '')), chr(31))), chr(30))
+            FROM extracted_tables WHERE cell_rows IS NOT NULL
+        ), f AS (SELECT DISTINCT record_kind, record_id, raw, {form} AS canonical_text FROM r)
+"""
+_SQL = {
+    "p2_found": _RECORDS
+    + """
+        SELECT DISTINCT x.record_kind, x.record_id AS id_a, y.record_id AS id_b FROM f x JOIN f y
+        ON x.record_kind = y.record_kind AND x.canonical_text = y.canonical_text AND x.record_id < y.record_id AND x.raw <> y.raw
+    """,
+    "p2_canonical": _RECORDS + "SELECT DISTINCT record_kind, record_id, md5(canonical_text) AS form, canonical_text FROM f",
+}
+
+
+def sql() -> dict[str, str]:
+    """The SQL twins; made on demand, since they hold the compiled readings."""
+    form = _sql_form("raw")
+    return {name: text.replace("{form}", form) for name, text in _SQL.items()}

@@ -1,3 +1,6 @@
+import sys
+import unicodedata
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -25,6 +28,27 @@ def test_what_looks_the_same_is_equal():
         assert canonical_text(a) == canonical_text(b) == b
 
 
+def test_every_character_and_its_decomposition():
+    """Whatever way an assigned character is composed, it comes out in one form, which is read as itself."""
+    for code in range(sys.maxunicode + 1):
+        if not 0xD800 <= code <= 0xDFFF and unicodedata.category(chr(code)) != "Cn":
+            form = canonical_text(chr(code))
+            assert canonical_text(unicodedata.normalize("NFD", chr(code))) == form == canonical_text(form), hex(code)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aeoxкеЁｅｶか한ا\u0301\u0302\u0323\u0327\u0308\u3099\uff9e\u1112\u1161\u11ab\u0653\u064b\u093c\u200d", max_size=12))
+def test_same_form_for_all_equivalent_strings(text):
+    form = canonical_text(text)
+    assert canonical_text(unicodedata.normalize("NFD", text)) == canonical_text(unicodedata.normalize("NFC", text)) == form == canonical_text(form)
+
+
+def test_longest_chains():
+    pairs = [("ｶﾞ", "ガ"), ("か\u3099", "が"), ("\u1112\u1161\u11ab", "한"), ("하\u11ab", "한"), ("\u0627\u0653", "آ"), ("µ", "μ"), ("ᎪᏟ"[0], "A"), ("e\u0302\u0301", "ế"), ("a\u0302\u0323", "ậ"), ("е\u0308", "ë"), ("\u0915\u093c", "\u0958"), ("\U0002f800", "\u4e3d")]
+    for a, b in pairs:
+        assert canonical_text(a) == canonical_text(b), (a, b)
+
+
 def test_what_looks_different_stays_apart():
     for a, b in [("Case", "case"), ("cafe", "café"), ("m²", "m2"), ("ı", "i"), ("’", "'"), ("–", "-"), ("—", "–"), ("ab", "a b"), ("a\nb", "a b"), ("ł", "l"), ("ø", "o"), ("О", "Q")]:
         assert canonical_text(a) != canonical_text(b)
