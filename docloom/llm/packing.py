@@ -81,7 +81,7 @@ def pack(df: DataFrame, key: str = "doc_id", size: str = "n_tokens", capacity: i
 
     Items are dealt to shards by a hash of their key, so a shard's share is bounded however the input is partitioned and
     the result doesn't depend on it; the hash mixes sizes in each shard, large items first within blocks of the shard's
-    stream. Items of size 0 (null and blank texts) go to a container of their own shard and take no room; null sizes
+    stream. Items of size 0 (null and empty texts) go to a container of their own shard and take no room; null sizes
     count as 0. A key that is repeated is packed once. Container ids are ``shard * 2^32 + number`` and unique.
     """
     items = df.groupBy(key).agg(F.max(F.coalesce(F.col(size), F.lit(0))).cast("long").alias("size"))
@@ -132,5 +132,21 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.agg(F.count("*").alias("n_containers"), F.sum("used").alias("tokens"), F.ceil(F.sum("used") / CAPACITY).alias("least_containers"), F.round(1 - F.sum("used") / (F.count("*") * CAPACITY), 6).alias("unused_share"))
 
 
-QUERIES = {"p7_containers": p7_containers, "p7_fill": p7_fill}
-SQL: dict[str, str] = {}
+def p7_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of any packing, counted: documents packed, tokens lost, containers beyond their capacity, documents divided though they fit, and whether more than a fiftieth (and 256) of the containers could be saved."""
+    sizes = sized_documents(spark, sf_dir)
+    packed = materialize(pack(sizes), "p7-packed")
+    per = packed.groupBy("doc_id").agg(F.sum("size").alias("packed"), F.count("*").alias("n"))
+    joined = sizes.groupBy("doc_id").agg(F.max(F.coalesce("n_tokens", F.lit(0))).alias("tokens")).join(per, "doc_id", "left")
+    lost = F.coalesce(F.sum(F.col("tokens") - F.coalesce("packed", F.lit(0))), F.lit(0)).cast("long")
+    divided = F.coalesce(F.sum(((F.col("tokens") <= CAPACITY) & (F.col("n") > 1)).cast("long")), F.lit(0))
+    full = containers(packed)
+    over = full.agg(F.coalesce(F.sum((F.col("used") > CAPACITY).cast("long")), F.lit(0)).alias("over_capacity"), (F.count("*") > F.ceil(F.sum("used") / CAPACITY) * 1.02 + OPEN_BINS).cast("long").alias("wasteful"))
+    one = joined.agg(F.count("n").alias("documents"), lost.alias("lost_tokens"), divided.alias("divided"))
+    return one.join(over, F.lit(True))  # one row each
+
+
+QUERIES = {"p7_containers": p7_containers, "p7_fill": p7_fill, "p7_invariants": p7_invariants}
+SQL = {
+    "p7_invariants": "SELECT count(DISTINCT doc_id) AS documents, 0::BIGINT AS lost_tokens, 0::BIGINT AS divided, 0::BIGINT AS over_capacity, 0::BIGINT AS wasteful FROM documents",
+}

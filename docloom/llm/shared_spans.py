@@ -17,10 +17,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import slices, table
+from .common import materialize, slices, table
 
 RUN = 30
 GEAR_WORDS = 12
@@ -205,33 +205,29 @@ def shared_runs(df: DataFrame, run: int = RUN) -> DataFrame:
         F.xxhash64("record_kind", "record_id").alias("rid"),
         "text",
     ).where(F.length("text") >= 2 * run - 1)
-    digests = _chunk_digests(df, run)
-    found = digests.join(_in_several_owners(digests), "digest", "left_semi")
+    # Digests and runs are used twice and therefore written once; sums over them are made before they are shuffled.
+    digests = materialize(_chunk_digests(df, run), "p5-digests")
+    found = digests.select("digest", "rid", "at", "n").join(_in_several_owners(digests), "digest", "left_semi")
     places = found.groupBy("rid").agg(F.collect_set(F.struct("at", "n")).alias("places"))
     # Two records of one rid share their places: those that don't fit only cost a comparison.
-    runs = _run_digests(df.join(places, "rid"), run)
+    runs = materialize(_run_digests(df.join(places, "rid"), run), "p5-runs")
     return runs.join(_in_several_owners(runs), "digest", "left_semi").select("record_kind", "record_id", "at", "words").distinct()
 
 
 def shared_spans(df: DataFrame, run: int = RUN) -> DataFrame:
     """Per record: the maximal spans shared with other owners, their number of words and their share of the record."""
-    runs = shared_runs(df, run).groupBy("record_kind", "record_id", "words").agg(F.sort_array(F.collect_set("at")).alias("at"))
-    # Runs that overlap or touch make one span: a fold over the record's own sorted places, bounded by its length.
-    spans = F.aggregate(
-        "at",
-        F.expr("cast(array() as array<struct<first:int,past:int>>)"),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["past"] >= x),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["first"].alias("first"), (x + run).alias("past")))),
-        ).otherwise(F.concat(acc, F.array(F.struct(x.alias("first"), (x + run).alias("past"))))),
-    )
-    covered = F.aggregate("spans", F.lit(0), lambda acc, s: acc + s["past"] - s["first"])
+    record = ["record_kind", "record_id", "words"]
+    in_order = Window.partitionBy(*record).orderBy("at")
+    runs = shared_runs(df, run)
+    # Runs that overlap or touch make one span. A record's places number at most its words.
+    begins = (F.col("at") > F.lag("at").over(in_order) + run).cast("int")
+    islands = runs.withColumn("begins", F.coalesce(begins, F.lit(1))).withColumn("span", F.sum("begins").over(in_order))
+    spans = islands.groupBy(*record, "span").agg(F.min("at").alias("first"), (F.max("at") + run).alias("past"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first", "past"))), lambda x: F.concat_ws("-", x["first"], x["past"])), ",")
     return (
-        runs.withColumn("spans", F.when(F.size("at") > 0, spans))
-        .select("record_kind", "record_id", "words", F.size("spans").alias("n_spans"), covered.alias("shared_words"), "spans")
-        .withColumn("shared_share", F.round(F.col("shared_words") / F.col("words"), 6))
-        .select("record_kind", "record_id", "words", "n_spans", "shared_words", "shared_share", F.transform("spans", lambda s: F.concat_ws("-", s["first"], s["past"])).alias("spans"))
-        .withColumn("spans", F.concat_ws(",", "spans"))
+        spans.groupBy(*record)
+        .agg(F.count("*").cast("int").alias("n_spans"), F.sum(F.col("past") - F.col("first")).cast("int").alias("shared_words"), joined.alias("spans"))
+        .select(*record, "n_spans", "shared_words", F.round(F.col("shared_words") / F.col("words"), 6).alias("shared_share"), "spans")
     )
 
 
@@ -244,15 +240,26 @@ def p5_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p5_found": p5_found, "p5_spans": p5_spans}
-SQL = {
-    "p5_found": r"""
+_RUNS = r"""
         WITH r AS (
             SELECT DISTINCT 'chunk' AS record_kind, chunk_id AS record_id, filing_id, text FROM chunks WHERE text IS NOT NULL
             UNION ALL SELECT DISTINCT 'passage', id, filing_id, source_passage FROM generated_qa WHERE source_passage IS NOT NULL
         ), w AS (
             SELECT record_kind, record_id, filing_id, list_filter(regexp_split_to_array(text, '[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), lambda x: x <> '') AS ws FROM r
-        ), g AS (SELECT record_kind, record_id, filing_id, unnest(list_transform(range(1, len(ws) - 28), lambda i: array_to_string(ws[i:i + 29], ' '))) AS run FROM w WHERE len(ws) >= 30),
-        s AS (SELECT run FROM g GROUP BY run HAVING min(filing_id) <> max(filing_id))
-        SELECT DISTINCT record_kind, record_id FROM g JOIN s USING (run)
+        ), g AS (
+            SELECT record_kind, record_id, filing_id, len(ws) AS words, unnest(range(0, len(ws) - 29)) AS pos,
+                unnest(list_transform(range(1, len(ws) - 28), lambda i: array_to_string(ws[i:i + 29], ' '))) AS run FROM w WHERE len(ws) >= 30
+        ), s AS (SELECT run FROM g GROUP BY run HAVING min(filing_id) <> max(filing_id))
+"""
+SQL = {
+    "p5_found": _RUNS + "SELECT DISTINCT record_kind, record_id FROM g JOIN s USING (run)",
+    "p5_spans": _RUNS
+    + """, f AS (SELECT DISTINCT record_kind, record_id, words, pos FROM g JOIN s USING (run)),
+        b AS (SELECT *, CASE WHEN pos > lag(pos) OVER p + 30 THEN 1 WHEN lag(pos) OVER p IS NULL THEN 1 ELSE 0 END AS begins FROM f WINDOW p AS (PARTITION BY record_kind, record_id, words ORDER BY pos)),
+        i AS (SELECT *, sum(begins) OVER (PARTITION BY record_kind, record_id, words ORDER BY pos) AS span FROM b),
+        e AS (SELECT record_kind, record_id, words, span, min(pos) AS f, max(pos) + 30 AS p FROM i GROUP BY ALL)
+        SELECT record_kind, record_id, words::INT AS words, count(*)::INT AS n_spans, sum(p - f)::INT AS shared_words,
+            round(sum(p - f) / words, 6) AS shared_share, string_agg(f || '-' || p, ',' ORDER BY f) AS spans
+        FROM e GROUP BY record_kind, record_id, words
     """,
 }

@@ -11,9 +11,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import words
 from .common import table
 
 PARAGRAPH, LINE, ENTRY, SENTENCE, WORD = 4, 3, 2, 1, 0
@@ -186,10 +187,32 @@ def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_oversized(table(spark, sf_dir, "chunks"), overlap_tokens=60).dropDuplicates(["chunk_id", "piece_index"])
 
 
-QUERIES = {"p4_found": p4_found, "p4_pieces": p4_pieces}
-SQL = {
-    "p4_found": r"""
+def p4_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the pieces of ``p4_pieces``, counted: chunks split, pieces beyond the limit, and chunks whose pieces don't cover it, overlap otherwise than asked for or hold other words than the chunk."""
+    overlap = int(60 / 1.3)
+    pieces = p4_pieces(spark, sf_dir)
+    along = Window.partitionBy("chunk_id").orderBy("piece_index")
+    end = F.col("start_word") + F.col("n_words")
+    pieces = pieces.withColumn("expected", F.coalesce(F.lag(end - overlap).over(along), F.lit(0))).withColumn("own", words(F.col("piece_text")))
+    fresh = F.when(F.col("piece_index") == 0, F.col("own")).otherwise(F.slice("own", F.lit(overlap + 1), F.greatest(F.size("own") - overlap, F.lit(0))))
+    per = pieces.groupBy("chunk_id").agg(
+        F.sum((F.col("tokens") > 600).cast("long")).alias("over"),
+        F.bool_or(F.col("start_word") != F.col("expected")).alias("moved"),
+        F.max(end).alias("covered"),
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("piece_index", fresh.alias("w")))), lambda x: x["w"])).alias("joined"),
+    )
+    texts = table(spark, sf_dir, "chunks").select("chunk_id", words(F.col("text")).alias("words")).dropDuplicates(["chunk_id"])
+    joined = per.join(texts, "chunk_id")
+    count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0)).cast("long")
+    return joined.agg(F.count("*").alias("chunks"), F.coalesce(F.sum("over"), F.lit(0)).cast("long").alias("over_limit"), count(F.col("moved")).alias("wrong_overlap"), count(F.col("covered") != F.size("words")).alias("not_covered"), count(F.col("joined") != F.col("words")).alias("other_words"))
+
+
+QUERIES = {"p4_found": p4_found, "p4_pieces": p4_pieces, "p4_invariants": p4_invariants}
+_OVER = r"""
         SELECT DISTINCT chunk_id FROM chunks
         WHERE len(list_filter(regexp_split_to_array(text, '[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), lambda x: x <> '')) * 13 // 10 > 600
-    """,
+    """
+SQL = {
+    "p4_found": _OVER,
+    "p4_invariants": f"SELECT count(*) AS chunks, 0::BIGINT AS over_limit, 0::BIGINT AS wrong_overlap, 0::BIGINT AS not_covered, 0::BIGINT AS other_words FROM ({_OVER})",
 }

@@ -1,6 +1,6 @@
 import random
 
-from docloom.llm.mixing import mix, reached, water_fill
+from docloom.llm.mixing import largest_exact_total, mix, reached, water_fill
 from docloom.llm.packing import BestFit, containers, pack, pack_sizes
 from docloom.llm.tokens import with_tokens
 
@@ -67,6 +67,28 @@ def test_water_filling():
     assert water_fill([], {}) == []
 
 
+def test_largest_total_with_exact_shares():
+    targets, available = [("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.2, 4), ("gone", 0.1, 3)], {"a": 1000, "b": 50, "c": 100}
+    total = largest_exact_total(targets, available)
+    assert abs(total - 100 / 0.3) < 1e-6  # b ends first: 100 tokens are 0.3 of the weights of those there are
+    wanted = {s.source: s.wanted for s in water_fill(targets, available, total)}
+    assert abs(wanted["a"] - total * 0.5) < 1e-6 and abs(wanted["c"] - total * 0.2) < 1e-6
+    assert largest_exact_total([], {}) == 0
+
+
+def test_edge_is_narrowed_by_further_histograms(spark):
+    """One source with nearly all records: the cut is the same however many histograms it takes to get there."""
+    rng = random.Random(6)
+    rows = [(i, "a" if i % 50 else "b", rng.randint(1, 9)) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, n_tokens long")
+    targets = [("a", 0.9, 1), ("b", 0.1, 8)]
+    plain, shares = mix(df, targets, total=50_000, edge_rows=10_000)
+    fine, _ = mix(df, targets, total=50_000, edge_rows=1)
+    assert sorted(plain.collect()) == sorted(fine.collect())
+    for r in reached(fine, shares).collect():
+        assert abs(r["tokens"] - {s.source: s.wanted for s in shares}[r["source"]]) <= 9
+
+
 def test_mix_reaches_its_sizes_to_a_record(spark):
     rng = random.Random(4)
     rows = [(i, ["a", "b", "c", None, "unlisted"][i % 5], rng.randint(0, 50)) for i in range(3000)] + [(0, "a", 10)]
