@@ -4,8 +4,9 @@ Two word sets A and B share at least ``t`` of their union exactly when their ind
 distance ``h = (1 - t) / (1 + t) * (|A| + |B|)``, rounded down. All vectors are laid out in one order of words (rarest
 first, as far as a frequency table of fixed size tells) and split into blocks of one word. By the pigeonhole principle
 ``h`` errors can't fill more than ``h`` blocks, so a close pair agrees in a block before its errors are used up: if that
-word stands at place ``p`` in A and ``q`` in B, then ``p + q <= h``. One of the two is *near* (``2 * p <= h``). Every set
-therefore gives a key for each of its first ``h + 1`` words, and keys are joined, near ones with all.
+word stands at place ``p`` in A and ``q`` in B, then ``p + q <= h``. One of the two is *near* (``2 * p <= h``), and one is
+*large* (at least half as large as two sets of budget ``h`` are together). Every set therefore gives a key for each of
+its first ``h + 1`` words, and under each key the near sets or the large ones, whichever are fewer, are joined with all.
 
 A key that too many sets share is not joined but refined: a close pair that agrees in one block agrees in a further one,
 again before the errors are used up (the end of the set counts as a last block). The keys of both blocks together are
@@ -28,8 +29,9 @@ from pyspark.sql import functions as F
 from .common import materialize, table
 
 THRESHOLD = (4, 5)  # 0.8, as a fraction: integer arithmetic decides ties
-#: Keys under which more pairs than this would be compared are refined by a further block.
-PAIRS_A_KEY = 1 << 13
+#: Keys under which more sets than this would be compared with all others of the key are refined by a further block, so a
+#: set is compared with so many others of a key at most.
+LEADS_A_KEY = 64
 #: Size of the frequency table that words are ordered by; words of one slot only share an estimate, results don't depend on it.
 FREQUENCY_SLOTS = 1 << 18
 _END = np.uint64(0x9E3779B97F4A7C15)
@@ -84,6 +86,18 @@ def budgets_by_size(sizes: list[int], threshold: tuple[int, int] = THRESHOLD) ->
     return out
 
 
+def least_sizes(budgets: dict[int, list[int]], threshold: tuple[int, int] = THRESHOLD) -> dict[int, int]:
+    """For each budget the size that the larger set of its pairs has at least."""
+    num, den = threshold
+    out = {}
+    for budget in {h for hs in budgets.values() for h in hs}:
+        h = budget
+        while h and error_grid(h - 1) == budget:
+            h -= 1
+        out[budget] = -(-h * (den + num) // (2 * (den - num)))
+    return out
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -134,16 +148,18 @@ def _fingerprints(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.stack(lanes)
 
 
-_KEY_SCHEMA = "key long, handle long, n int, budget int, place int, errors int, near boolean, ended boolean, s0 long, s1 long"
+_KEY_SCHEMA = "key long, handle long, n int, budget int, place int, errors int, near boolean, large boolean, ended boolean, s0 long, s1 long"
 
 
-def _keyed(states: DataFrame, frequency: np.ndarray, budgets: dict[int, list[int]], depth: int) -> DataFrame:
+def _keyed(states: DataFrame, frequency: np.ndarray, budgets: dict[int, list[int]], least: dict[int, int], depth: int) -> DataFrame:
     """Rows of ``_KEY_SCHEMA``. Input: handle, hashes and, beyond the first block, base, budget and place."""
     spark = states.sparkSession
-    shared = spark.sparkContext.broadcast((frequency, budgets))  # a table of fixed size, and a few numbers for each size of a set
+    bounds = np.zeros(max(least, default=0) + 1, np.int64)
+    bounds[list(least)] = list(least.values())
+    shared = spark.sparkContext.broadcast((frequency, budgets, bounds))  # a table of fixed size, and a few numbers for each size of a set
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, by_size = shared.value
+        slots, by_size, bounds = shared.value
         for whole in batches:
             for batch in (whole.slice(i, 2000) for i in range(0, whole.num_rows, 2000)):
                 flat, sizes = _ordered(batch.column(1), slots)
@@ -159,13 +175,13 @@ def _keyed(states: DataFrame, frequency: np.ndarray, budgets: dict[int, list[int
                 found = block_keys(flat, sizes, row, base, budget, last, depth)
                 of, h = row[found["state"]], budget[found["state"]]
                 lanes = _fingerprints(flat, sizes)
-                columns = [found["key"], handle[of], sizes[of].astype(np.int32), h.astype(np.int32), found["place"].astype(np.int32), found["errors"].astype(np.int32), 2 * found["errors"] <= h, found["ended"], lanes[0][of], lanes[1][of]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "handle", "n", "budget", "place", "errors", "near", "ended", "s0", "s1"])
+                columns = [found["key"], handle[of], sizes[of].astype(np.int32), h.astype(np.int32), found["place"].astype(np.int32), found["errors"].astype(np.int32), 2 * found["errors"] <= h, sizes[of] >= bounds[h], found["ended"], lanes[0][of], lanes[1][of]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "handle", "n", "budget", "place", "errors", "near", "large", "ended", "s0", "s1"])
 
     return states.mapInArrow(run, _KEY_SCHEMA)
 
 
-def close_classes(classes: DataFrame, threshold: tuple[int, int] = THRESHOLD, pairs_a_key: int = PAIRS_A_KEY, report: list[dict] | None = None) -> DataFrame:
+def close_classes(classes: DataFrame, threshold: tuple[int, int] = THRESHOLD, leads_a_key: int = LEADS_A_KEY, report: list[dict] | None = None) -> DataFrame:
     """Pairs (a, b) of classes whose word sets are close, a < b.
 
     With a list as ``report``, the number of keys, refined keys' rows and candidates of each level is appended to it.
@@ -178,31 +194,41 @@ def close_classes(classes: DataFrame, threshold: tuple[int, int] = THRESHOLD, pa
     frequency = np.zeros(FREQUENCY_SLOTS, np.int64)
     frequency[counts["slot"].to_numpy()] = counts["count"].to_numpy()
     budgets = budgets_by_size([r["n"] for r in classes.select("n").distinct().collect()], threshold)
+    least = least_sizes(budgets, threshold)
 
     states = classes.select("handle", "hashes")
     found: list[DataFrame] = []
     depth = 0
     while True:
-        keyed = _keyed(states, frequency, budgets, depth)
+        keyed = _keyed(states, frequency, budgets, least, depth)
         # Exchanged once by key: counts, joins and refinement all read the same partitions.
         keyed = keyed.repartition("key")
-        stats = keyed.groupBy("key").agg(F.count("*").alias("n_all"), F.sum(F.col("near").cast("long")).alias("n_near"), F.bool_or("ended").alias("last"))
-        stats = stats.where("n_near > 0 and n_all > 1").select("key", ((F.col("n_near") * F.col("n_all") > pairs_a_key) & ~F.col("last")).alias("hot"))
-        useful = keyed.join(stats, "key")
+        stats = keyed.groupBy("key").agg(
+            F.count("*").alias("n_all"),
+            F.sum(F.col("near").cast("long")).alias("n_near"),
+            F.sum(F.col("large").cast("long")).alias("n_large"),
+            F.min("errors").alias("least_errors"),
+        )
+        stats = stats.where("n_near > 0 and n_large > 0 and n_all > 1").select("key", "least_errors", (F.col("n_large") < F.col("n_near")).alias("by_size"))
+        useful = keyed.join(stats, "key").where("errors + least_errors <= budget")  # no other set of the key has fewer errors
+        useful = useful.withColumn("lead", F.when(F.col("by_size"), F.col("large")).otherwise(F.col("near"))).drop("near", "large", "by_size", "least_errors")
         rows = materialize(useful, f"p3-blocks-{depth}")
-        cold, hot = rows.where("not hot"), rows.where("hot")
-        x, y = cold.where("near").alias("x"), cold.alias("y")
+        counts = rows.groupBy("key").agg(F.sum(F.col("lead").cast("long")).alias("n_lead"), F.bool_or("ended").alias("last"))
+        often = materialize(counts.where((F.col("n_lead") > leads_a_key) & ~F.col("last")).select("key"), f"p3-often-{depth}")
+        refined = not often.isEmpty()
+        cold, hot = (rows.join(often, "key", "left_anti"), rows.join(often, "key", "left_semi")) if refined else (rows, rows.limit(0))
+        x, y = cold.where("lead").alias("x"), cold.alias("y")
         total = F.col("x.n") + F.col("y.n")
         h = _budget(total, threshold)
         apart = F.bit_count(F.col("x.s0").bitwiseXOR(F.col("y.s0"))) + F.bit_count(F.col("x.s1").bitwiseXOR(F.col("y.s1")))
         fits = (F.col("x.n") * den >= F.col("y.n") * num) & (F.col("y.n") * den >= F.col("x.n") * num)
-        once = (F.col("x.handle") < F.col("y.handle")) | (~F.col("y.near") & (F.col("x.handle") != F.col("y.handle")))
+        once = (F.col("x.handle") < F.col("y.handle")) | (~F.col("y.lead") & (F.col("x.handle") != F.col("y.handle")))
         pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & once & fits & (F.col("x.errors") + F.col("y.errors") <= h) & (apart <= h))
         pairs = pairs.select(F.least("x.handle", "y.handle").alias("a"), F.greatest("x.handle", "y.handle").alias("b"))
         found.append(pairs)
         if report is not None:
             report.append({"depth": depth, "keys": rows.count(), "refined": hot.count(), "candidates": pairs.count()})
-        if hot.isEmpty():
+        if not refined:
             break
         depth += 1
         states = hot.select("handle", "key", "budget", "place").distinct().join(classes.select("handle", "hashes"), "handle").select("handle", "hashes", "key", "budget", "place")
@@ -216,14 +242,14 @@ def close_classes(classes: DataFrame, threshold: tuple[int, int] = THRESHOLD, pa
     return close.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"))
 
 
-def near_duplicate_pairs(df: DataFrame, key: str, text: str, threshold: tuple[int, int] = THRESHOLD, pairs_a_key: int = PAIRS_A_KEY) -> DataFrame:
+def near_duplicate_pairs(df: DataFrame, key: str, text: str, threshold: tuple[int, int] = THRESHOLD, leads_a_key: int = LEADS_A_KEY) -> DataFrame:
     """All pairs (id_a, id_b), smaller first, of records whose word sets are close; equal sets are, too.
 
     Null texts and texts without a word are in no pair; repeated rows of one id count once; other columns are ignored.
     """
     members, classes = word_classes(df, key, text)
     members = materialize(members, "p3-members")
-    links = materialize(close_classes(classes, threshold, pairs_a_key), "p3-links")
+    links = materialize(close_classes(classes, threshold, leads_a_key), "p3-links")
     across = links.join(members.select(F.col("cid").alias("a"), F.col("id").alias("id_1")), "a").join(members.select(F.col("cid").alias("b"), F.col("id").alias("id_2")), "b").select(F.least("id_1", "id_2").alias("id_a"), F.greatest("id_1", "id_2").alias("id_b"))
     shared = members.groupBy("cid").count().where("count > 1").select("cid")
     several = members.join(shared, "cid", "left_semi")

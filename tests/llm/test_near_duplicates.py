@@ -33,9 +33,9 @@ def test_same_pairs_as_brute_force_however_often_blocks_are_refined(spark):
         rows = sample(seed)
         df = spark.createDataFrame(rows, SCHEMA)
         want = brute(rows)
-        for pairs_a_key in (0, 40, 1 << 13):  # 0: every key is refined until the sets end
-            got = {tuple(r) for r in near_duplicate_pairs(df, "id", "question", pairs_a_key=pairs_a_key).collect()}
-            assert got == want, (seed, pairs_a_key, len(want - got), len(got - want))
+        for leads_a_key in (0, 6, 64):  # 0: every key is refined until the sets end
+            got = {tuple(r) for r in near_duplicate_pairs(df, "id", "question", leads_a_key=leads_a_key).collect()}
+            assert got == want, (seed, leads_a_key, len(want - got), len(got - want))
 
 
 def test_every_pair_comes_through_blocks_even_if_all_words_are_common(spark):
@@ -45,11 +45,11 @@ def test_every_pair_comes_through_blocks_even_if_all_words_are_common(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     members, classes = word_classes(df, "id", "question")
     report = []
-    links = close_classes(classes, pairs_a_key=200, report=report).count()
+    links = close_classes(classes, leads_a_key=12, report=report).count()
     assert len(report) > 2 and report[0]["refined"] > 0 and report[-1]["refined"] == 0
     sets = {frozenset(q.split()) for _, q, *_ in rows}
     assert links == sum(1 for a in sets for b in sets if sorted(a) < sorted(b) and 5 * len(a & b) >= 4 * len(a | b))
-    assert {tuple(r) for r in near_duplicate_pairs(df, "id", "question", pairs_a_key=200).collect()} == brute(rows)
+    assert {tuple(r) for r in near_duplicate_pairs(df, "id", "question", leads_a_key=12).collect()} == brute(rows)
 
 
 def test_blocks_and_budgets():
