@@ -39,6 +39,15 @@ class Config:
     http_timeout_s: float = 30.0
     http_retries: int = 3
     http_backoff_s: float = 2.0
+    chat_url: str = ""
+    chat_model: str = ""
+    verify_model: str = ""
+    embed_url: str = ""
+    embed_model: str = ""
+    embed_dimension: int = 384
+    key_variable: str = "DOCLOOM_API_KEY"
+    prompts_folder: str = ""
+    log_level: str = "INFO"
     output_format: str = "csv"
     min_rows: int = 100
     seed: int = 42
@@ -53,9 +62,13 @@ class Config:
 
     @classmethod
     def load(cls, path: str) -> Config:
-        """From a JSON file with a flat object."""
+        """From a JSON file: one flat object, or objects by section, whose names don't matter."""
         with open(path, encoding="utf-8") as file:
-            return cls.from_mapping(json.load(file))
+            values = json.load(file)
+        flat: dict = {}
+        for name, value in values.items():
+            flat |= value if isinstance(value, dict) else {name: value}
+        return cls.from_mapping(flat)
 
 
 DEFAULT = Config()
@@ -69,6 +82,11 @@ def require_env(name: str) -> str:
     return value
 
 
+def set_up_logging(config: Config = DEFAULT) -> None:
+    """One handler for all messages of the engine, at the level of the settings."""
+    logging.basicConfig(format="%(asctime)s %(name)s %(levelname)s %(message)s", level=config.log_level)
+
+
 def logger(name: str) -> logging.Logger:
     out = logging.getLogger(name)
     if not logging.getLogger().handlers and not out.handlers:

@@ -53,8 +53,8 @@ def number_set(text: Column) -> Column:
     return F.array_distinct(F.transform(found, lambda x: F.replace(x, F.lit(","), F.lit(""))))
 
 
-def json_array_text(raw: Column) -> Column:
-    """The JSON text in a model's reply: the whole if it parses, else the part from the first ``[`` to the last ``]``."""
+def json_text(raw: Column, brackets: str = "[]") -> Column:
+    """The JSON text in a model's reply: the whole if it parses, else the part from the first opening to the last closing bracket."""
     clean = strip_fences(raw)
-    inner = F.regexp_extract(clean, r"(?s)\[.*\]", 0)
+    inner = F.regexp_extract(clean, rf"(?s)\{brackets[0]}.*\{brackets[1]}", 0)
     return F.when(F.try_parse_json(clean).isNotNull(), clean).when(F.try_parse_json(inner).isNotNull(), inner)

@@ -57,26 +57,54 @@ def similar_pairs(vectors: DataFrame, above: float, group: str | None = None, ke
     return placed.groupBy("g", "x", "y").applyInPandas(compare, schema)
 
 
-def keep_first(nodes: DataFrame, pairs: DataFrame, key: str = "id", rounds: int = 200) -> DataFrame:
+#: Undecided edges from which on the rest is decided in one task; it holds three numbers and two keys for each.
+FINISH_EDGES = 200_000
+
+
+def _finish(edges: DataFrame) -> DataFrame:
+    """Decisions (n, kept) on all ends ``b`` of the edges, one after another in order; ``kept`` is what is known of ``a``."""
+    kind = edges.schema["b"].dataType.simpleString()
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        kept = {a: k for a, k in zip(frame["a"], frame["kept"]) if k is not None and k == k}
+        before: dict = {}
+        for a, b, order in zip(frame["a"], frame["b"], frame["b_ord"]):
+            before.setdefault((order, b), []).append(a)
+        out = []
+        for (_, b), earlier in sorted(before.items(), key=lambda x: x[0]):
+            kept[b] = not any(kept[a] for a in earlier)
+            out.append((b, kept[b]))
+        return pd.DataFrame(out, columns=["n", "kept"])
+
+    return edges.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(run, f"n {kind}, kept boolean")
+
+
+def keep_first(nodes: DataFrame, pairs: DataFrame, key: str = "id", finish_edges: int = FINISH_EDGES) -> DataFrame:
     """(key, is_kept, dup_of, cosine): a node is dropped if an earlier kept one is similar to it.
 
     Dropped nodes drop no others. The sequential rule is reached by rounds: a node all of whose earlier neighbours are
-    dropped is kept, and one with a kept earlier neighbour is dropped; decisions are written to the shared folder.
-    dup_of is the first kept neighbour in order.
+    dropped is kept, and one with a kept earlier neighbour is dropped. Each round writes its new decisions and the edges
+    still open to the shared folder. Once at most ``finish_edges`` edges are open, which is soon unless nodes form long
+    chains, the rest is decided in one task; there is no limit to the rounds. dup_of is the first kept neighbour in order.
     """
-    edges = materialize(pairs.select("a", "b", "a_ord", "cosine"), "dedup-edges")
-    undecided = edges.select(F.col("b").alias("n")).distinct()
-    state = materialize(edges.select(F.col("a").alias("n")).distinct().join(undecided, "n", "left_anti").select("n", F.lit(True).alias("kept")), "dedup-state")
-    for _ in range(rounds):
-        known = edges.join(state.select(F.col("n").alias("b")), "b", "left_anti").join(state.select(F.col("n").alias("a"), "kept"), "a", "left")
-        verdict = known.groupBy(F.col("b").alias("n")).agg(F.bool_or(F.coalesce("kept", F.lit(False))).alias("hit"), F.bool_and(F.coalesce(~F.col("kept"), F.lit(False))).alias("clear"))
-        decided = verdict.where("hit or clear").select("n", (~F.col("hit")).alias("kept"))
-        grown = materialize(state.unionByName(decided), "dedup-state")
-        before, state = state, grown
-        if grown.count() == before.count():
+    edges = materialize(pairs.select("a", "b", "a_ord", "b_ord", "cosine"), "dedup-edges")
+    later = edges.select(F.col("b").alias("n")).distinct()
+    fresh = materialize(edges.select(F.col("a").alias("n")).distinct().join(later, "n", "left_anti").select("n", F.lit(True).alias("kept")), "dedup-decided")
+    state, left = fresh, edges.select("a", "b", "a_ord", "b_ord")
+    while True:
+        known = left.join(fresh.select(F.col("n").alias("a"), "kept"), "a", "left")
+        verdict = known.groupBy(F.col("b").alias("n")).agg(F.bool_or(F.coalesce("kept", F.lit(False))).alias("hit"), F.count_if(F.col("kept").isNull()).alias("open"))
+        fresh = materialize(verdict.where("hit or open = 0").select("n", (~F.col("hit")).alias("kept")), "dedup-decided")
+        left = known.where("kept is null").drop("kept").join(fresh.select(F.col("n").alias("b")), "b", "left_anti")
+        left = materialize(left.select("a", "b", "a_ord", "b_ord"), "dedup-open")
+        state = state.unionByName(fresh)
+        n_left = left.count()
+        if not n_left:
+            break
+        if n_left <= finish_edges:
+            known = left.join(fresh.select(F.col("n").alias("a"), "kept"), "a", "left")
+            state = state.unionByName(materialize(_finish(known), "dedup-decided"))
             break
-    else:
-        raise RuntimeError("the decisions didn't settle")
     kept = state.where("kept").select(F.col("n").alias("a"))
     reason = edges.join(kept, "a").groupBy(F.col("b").alias("n")).agg(F.min(F.struct("a_ord", "a", "cosine")).alias("by"))
     joined = nodes.join(state.withColumnRenamed("n", key), key, "left").join(reason.withColumnRenamed("n", key), key, "left")

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions import numeric, text
 from ..operators import chunking, dedup, fuzzy, generation, labels, sampling, tables, verification
+from ..sources import files
 from ..sources.html import scan_pages
+from ..storage import shared_dir
 from . import catalog_sql
 
 
@@ -92,7 +97,8 @@ def _pages(spark, sf_dir):
 
 
 def q_page_blocks(spark, sf_dir):
-    return scan_pages(_pages(spark, sf_dir)).groupBy("doc_id", "kind").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+    blocks = scan_pages(_pages(spark, sf_dir)).where("kind = 'block'")
+    return blocks.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"), F.count_if("bold_ul").alias("n_bold"))
 
 
 def q_page_chunks(spark, sf_dir):
@@ -131,9 +137,19 @@ def q_pairs(spark, sf_dir):
 
 
 def q_stride_sample(spark, sf_dir):
-    groups = sampling.with_types(sampling.pair_chunks(_chunks(spark, sf_dir), "fact_extraction", "filing_id"), DEFAULT.question_types[:2])
-    sampled = [sampling.stride_sample(groups.where(F.col("question_type") == t), 7, "filing_id") for t in DEFAULT.question_types[:2]]
-    return sampled[0].unionByName(sampled[1]).select("filing_id", "question_type", "chunk_id", "position")
+    """A sample of the groups of each type, paired where the type takes two passages."""
+    chunks = _chunks(spark, sf_dir)
+    sampled = [sampling.stride_sample(sampling.pair_chunks(chunks, t, "filing_id"), 7, "filing_id").withColumn("question_type", F.lit(t)) for t in DEFAULT.question_types]
+    return reduce(DataFrame.unionByName, sampled).select("filing_id", "question_type", "chunk_id", "position")
+
+
+def q_pair_text(spark, sf_dir):
+    """Texts of the groups of comparisons, one or two passages each, cut to the budget."""
+    chunks = _chunks(spark, sf_dir)
+    first = chunks.select("chunk_id", F.col("text").alias("a"))
+    second = chunks.select(F.col("chunk_id").alias("second_id"), F.col("text").alias("b"))
+    joined = sampling.pair_chunks(chunks, "comparison", "filing_id").join(first, "chunk_id").join(second, "second_id", "left")
+    return joined.where("a is not null and (second_id is null or b is not null)").select("filing_id", "chunk_id", text.truncate_to_budget(text.pair_text(F.col("a"), F.col("b")), 3000).alias("passage"))
 
 
 def q_truncate(spark, sf_dir):
@@ -142,7 +158,9 @@ def q_truncate(spark, sf_dir):
 
 def q_generated(spark, sf_dir):
     """Offline candidates of all chunks, checked for their quotations."""
-    groups = generation.chunk_groups(_chunks(spark, sf_dir).where("text is not null"), "filing_id")
+    made = tables.table_passages(_tables(spark, sf_dir), "filing_id", "col_names", "cell_rows").withColumn("chunk_id", F.concat(F.lit("table_"), "chunk_id"))
+    passages = _chunks(spark, sf_dir).where("text is not null")
+    groups = generation.chunk_groups(passages.unionByName(made.select(*passages.columns)), "filing_id")
     from ..sources.providers import OfflineGenerator
 
     return generation.checked_candidates(generation.generate(groups, OfflineGenerator(), "filing_id"), "filing_id").select("id", "question_type", "answer", "verbatim_match_score")
@@ -156,12 +174,18 @@ def _replies(spark, sf_dir):
 
 def q_json_recovery(spark, sf_dir):
     """Answers read back from the replies."""
-    clean = text.json_array_text(F.col("raw"))
+    clean = text.json_text(F.col("raw"))
     listed = F.when(F.startswith(F.ltrim(clean), F.lit("[")), clean).otherwise(F.concat(F.lit("["), clean, F.lit("]")))
     parsed = F.from_json(listed, "array<struct<question:string,answer:string,source_passage:string>>")
     return _replies(spark, sf_dir).select("id", F.explode(parsed).alias("c")).select("id", F.col("c.answer").alias("answer"))
 
 
+def q_required_fields(spark, sf_dir):
+    """Candidates read from the replies: those with all their texts, without blanks around them."""
+    found = generation.read_replies(_replies(spark, sf_dir).select("id", F.col("raw").alias("reply")))
+    return found.select("id", "number", "question", "answer", "source_passage")
+
+
 def q_number_overlap(spark, sf_dir):
     """Share of the passage's figures that the cited table or chunk has."""
     source = _chunks(spark, sf_dir).select(F.col("chunk_id").alias("src"), "text").unionByName(_tables(spark, sf_dir).select(F.col("table_id").alias("src"), tables.pipe_text(F.col("col_names"), F.col("cell_rows")).alias("text")))
@@ -171,18 +195,21 @@ def q_number_overlap(spark, sf_dir):
 
 
 def _with_source(spark, sf_dir):
+    """Pairs with the text of the first chunk or table they cite."""
     qa = _qa(spark, sf_dir).select("id", "source_passage", F.try_element_at("source_chunk_ids", F.lit(1)).alias("src"))
-    return qa.join(_chunks(spark, sf_dir).select(F.col("chunk_id").alias("src"), F.col("text").alias("passage_text")), "src")
+    chunks = _chunks(spark, sf_dir).select(F.col("chunk_id").alias("src"), F.col("text").alias("passage_text"), F.lit(False).alias("is_table"))
+    made = _tables(spark, sf_dir).select(F.col("table_id").alias("src"), tables.pipe_text(F.col("col_names"), F.col("cell_rows")).alias("passage_text"), F.lit(True).alias("is_table"))
+    return qa.join(chunks.unionByName(made), "src")
 
 
 def q_verbatim_exact(spark, sf_dir):
-    """Passages that stand in their cited chunk letter by letter."""
+    """Passages that stand in their cited chunk or table letter by letter."""
     exact = F.when(F.length(text.strip(F.col("source_passage"))) > 0, F.contains("passage_text", "source_passage"))
     return _with_source(spark, sf_dir).where("source_passage is not null and passage_text is not null").select("id", F.coalesce(exact, F.lit(False)).alias("is_exact"))
 
 
 def q_verbatim_score(spark, sf_dir):
-    return fuzzy.with_verbatim_score(_with_source(spark, sf_dir)).select("id", F.round("verbatim_match_score", 6).alias("score"))
+    return fuzzy.with_table_aware_score(_with_source(spark, sf_dir)).select("id", F.round("verbatim_match_score", 6).alias("score"))
 
 
 def q_faithfulness(spark, sf_dir):
@@ -206,6 +233,19 @@ def q_verify(spark, sf_dir):
     return verification.verify(qa, OfflineVerifier(), HashingEmbedder()).select("id", "faithfulness_pass", "numeric_check_pass", F.round("context_recall_score", 6).alias("recall"), "keep")
 
 
+def q_verify_numeric(spark, sf_dir):
+    """Verdicts on numeric questions, which no model sees."""
+    from ..sources.providers import HashingEmbedder, OfflineVerifier
+
+    qa = _qa(spark, sf_dir, "question_type = 'numeric_calculation'").select("id", "question", "answer", "source_passage", "question_type")
+    return verification.verify(qa, OfflineVerifier(), HashingEmbedder()).select("id", "faithfulness_pass", "numeric_check_pass")
+
+
+def q_skip_verification(spark, sf_dir):
+    """All pairs kept, unverified."""
+    return verification.skip_verification(_qa(spark, sf_dir).select("id")).select("id", "context_recall_score", "faithfulness_pass", "numeric_check_pass", "verifier_reason", "keep")
+
+
 def _vectors(spark, sf_dir):
     return _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
 
@@ -247,5 +287,21 @@ def q_output_rows(spark, sf_dir):
     return labels.output_rows(joined.where("keep"))
 
 
+def q_jsonl_round_trip(spark, sf_dir):
+    """The finished rows, written as JSON lines and read again."""
+    rows = q_output_rows(spark, sf_dir)
+    path = f"{shared_dir(spark).rstrip('/')}/docloom/jsonl-{uuid.uuid4().hex}"
+    files.write_json(rows, path)
+    return files.read_json(spark, path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema))
+
+
+def q_stage_round_trip(spark, sf_dir):
+    """Tables in their stage format, written and read strictly."""
+    rows = _tables(spark, sf_dir).select(F.col("filing_id").alias("doc_id"), "table_id", "heading_path", "part", "item", "order_index", "n_rows", "n_cols", F.col("col_names").alias("columns"), F.col("cell_rows").alias("rows"), "raw_html")
+    path = f"{shared_dir(spark).rstrip('/')}/docloom/tables-{uuid.uuid4().hex}"
+    files.write_json(rows, path)
+    return files.read_json(spark, path, files.TABLE_SCHEMA).drop("columns", "rows")
+
+
 QUERIES = {name: value for name, value in list(globals().items()) if name.startswith("q_")}
 SQL = catalog_sql.SQL

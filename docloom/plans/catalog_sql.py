@@ -162,7 +162,7 @@ SQL = {
     "q_stride_sample": f"""
         WITH {_PAIRED}, n AS (SELECT filing_id, count(*) AS n FROM ranked GROUP BY filing_id),
         wanted AS (SELECT DISTINCT filing_id, CASE WHEN n <= 7 THEN k ELSE CAST(floor(k * (CAST(n AS DOUBLE) / 7)) AS BIGINT) END AS position FROM n, range(0, 7) AS r(k))
-        SELECT filing_id, question_type, chunk_id, position FROM ranked JOIN wanted USING (filing_id, position), (VALUES ('fact_extraction'), ('numeric_calculation')) AS q(question_type)
+        SELECT filing_id, question_type, chunk_id, position FROM ranked JOIN wanted USING (filing_id, position), (VALUES ('fact_extraction'), ('numeric_calculation'), ('comparison'), ('multi_step_reasoning')) AS q(question_type)
     """,
     "q_truncate": f"""
         WITH {_CHUNKS}, h AS (SELECT chunk_id, text, substr(text, 1, 3000) AS head FROM c WHERE text IS NOT NULL), k AS (SELECT *, length(head) - instr(reverse(head), chr(10)) AS last FROM h)
@@ -180,8 +180,9 @@ SQL = {
         SELECT id, round(len(list_intersect(p, x)) / len(p), 6) AS overlap FROM k WHERE len(p) > 0 AND x IS NOT NULL
     """,
     "q_verbatim_exact": f"""
-        WITH {_CHUNKS}, {_QA} SELECT id, length({_strip('source_passage')}) > 0 AND contains(c.text, source_passage) AS is_exact
-        FROM qa JOIN c ON c.chunk_id = source_chunk_ids[1] WHERE source_passage IS NOT NULL AND c.text IS NOT NULL
+        WITH {_CHUNKS}, {_TABLES}, {_QA}, source AS (SELECT chunk_id AS src, text FROM c UNION ALL SELECT table_id, {_pipe('col_names', 'cell_rows')} FROM t)
+        SELECT id, length({_strip('source_passage')}) > 0 AND contains(text, source_passage) AS is_exact
+        FROM qa JOIN source ON src = source_chunk_ids[1] WHERE source_passage IS NOT NULL AND text IS NOT NULL
     """,
     "q_faithfulness": f"WITH {_LATEST} SELECT qa_id, coalesce(coalesce(numeric_check_pass, faithfulness_pass) AND context_recall_score >= 0.6, false) AS keep FROM latest",
     "q_cosine": """
@@ -200,3 +201,25 @@ SQL = {
         FROM qa JOIN latest ON qa_id = id WHERE keep
     """,
 }
+_JOINED = "CASE WHEN partner IS NULL THEN a.text ELSE a.text || chr(10) || '--- NEXT PASSAGE ---' || chr(10) || b.text END"
+SQL |= {
+    "q_pair_text": f"""
+        WITH {_CHUNKS}, p AS ({SQL["q_pairs"]}), j AS (
+            SELECT p.filing_id, p.chunk_id, {_JOINED.replace("partner", "p.second_id")} AS text FROM p JOIN c a ON a.chunk_id = p.chunk_id LEFT JOIN c b ON b.chunk_id = p.second_id
+        ), h AS (SELECT *, substr(text, 1, 3000) AS head FROM j WHERE text IS NOT NULL), k AS (SELECT *, length(head) - instr(reverse(head), chr(10)) AS last FROM h)
+        SELECT filing_id, chunk_id, CASE WHEN length(text) <= 3000 THEN text ELSE substr(head, 1, CASE WHEN contains(head, chr(10)) AND last >= 1500 THEN last ELSE 3000 END) || chr(10) || '[... truncated for length ...]' END AS passage FROM k
+    """,
+    "q_required_fields": f"""
+        WITH {_QA} SELECT id, 0 AS number, {_strip('question')} AS question, {_strip('answer')} AS answer, {_strip('source_passage')} AS source_passage
+        FROM qa WHERE length({_strip('question')}) > 0 AND length({_strip('answer')}) > 0 AND length({_strip('source_passage')}) > 0
+    """,
+    "q_verify_numeric": f"SELECT id, NULL::BOOLEAN AS faithfulness_pass, passed AS numeric_check_pass FROM ({SQL['q_numeric_check']})",
+    "q_skip_verification": f"WITH {_QA} SELECT id, 1.0::DOUBLE AS context_recall_score, NULL::BOOLEAN AS faithfulness_pass, NULL::BOOLEAN AS numeric_check_pass, 'SKIPPED' AS verifier_reason, true AS keep FROM qa",
+    "q_jsonl_round_trip": SQL["q_output_rows"],
+    "q_stage_round_trip": f"WITH {_TABLES} SELECT filing_id AS doc_id, table_id, heading_path, part, item, order_index, n_rows, n_cols, raw_html FROM t",
+    "q_page_blocks": f"""
+        WITH {_CHUNKS}, b AS (SELECT filing_id AS doc_id, unnest([{{'t': part, 'b': true}}, {{'t': item, 'b': true}}, {{'t': text, 'b': false}}]) AS x FROM c),
+        s AS (SELECT doc_id, {_strip("x['t']")} AS t, x['b'] AS b FROM b)
+        SELECT doc_id, count(*) AS n, sum(length(t)) AS chars, count(*) FILTER (b) AS n_bold FROM s WHERE length(t) > 0 GROUP BY doc_id
+    """,
+}

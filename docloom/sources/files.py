@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 from urllib.request import Request, urlopen
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,33 @@ def fetch_page(url: str, folder: Path, ticker: str, accession: str, agent: str,
     raise FetchError(f"{url}: {last}") from last
 
 
+def fetch_pages(urls: DataFrame, agent: str, config: Config = DEFAULT, opener: Callable | None = None) -> DataFrame:
+    """Pages of a table of addresses (doc_id, url): doc_id, url, html, and the error where all attempts failed.
+
+    Pages are fetched by the executors, with the same retries as a single one; write the result before using it twice.
+    A null address gives an error.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            pages, errors = [], []
+            for url in frame["url"]:
+                page, error = None, "no address" if not url else None
+                for attempt in range(1, config.http_retries + 1 if url else 1):
+                    try:
+                        with (opener or urlopen)(Request(url, headers={"User-Agent": agent}), timeout=config.http_timeout_s) as reply:
+                            page, error = reply.read().decode("utf-8", "replace"), None
+                        break
+                    except OSError as failure:
+                        error = str(failure)
+                        time.sleep(config.http_backoff_s * attempt)
+                pages.append(page)
+                errors.append(error)
+            yield frame.assign(html=pages, error=errors)
+
+    return urls.selectExpr("cast(doc_id as bigint) as doc_id", "url").mapInPandas(run, "doc_id bigint, url string, html string, error string")
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Pages of a folder of HTML files: doc_id (a hash of the path), url (the path), html."""
     files = spark.read.format("text").option("wholetext", True).load(path)

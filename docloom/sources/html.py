@@ -31,30 +31,6 @@ class Node:
     children: list[Node | str] = field(default_factory=list)
     hidden: bool = False
 
-    def walk(self) -> Iterator[Node]:
-        stack = [iter(self.children)]
-        while stack:
-            child = next(stack[-1], None)
-            if child is None:
-                stack.pop()
-            elif isinstance(child, Node):
-                yield child
-                stack.append(iter(child.children))
-
-    def text(self) -> str:
-        """All text pieces without blanks around them, joined by one space."""
-        parts, stack = [], [iter(self.children)]
-        while stack:
-            child = next(stack[-1], None)
-            if child is None:
-                stack.pop()
-            elif isinstance(child, str):
-                if piece := child.strip():
-                    parts.append(piece)
-            elif child.tag not in _SILENT:
-                stack.append(iter(child.children))
-        return " ".join(parts)
-
     def style(self) -> str:
         return (self.attrs.get("style") or "").lower().replace(" ", "")
 
@@ -75,12 +51,39 @@ def _is_outer(tag: str) -> bool:
 
 
 class _Builder(HTMLParser):
-    """Builds the tree. A hidden element is opened and closed like any other, but never hung into its parent."""
+    """Builds the tree. A hidden element is opened and closed like any other, but never hung into its parent.
+
+    The places of open elements are kept by tag, so no tag takes longer the deeper the page is nested.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Node("#root")
         self.open = [self.root]
+        self.places: dict[str, list[int]] = {}  # of open elements, by tag
+        self.hidden: list[int] = []
+        self.hidden_outer: list[int] = []
+
+    def _last(self, tag: str) -> int:
+        places = self.places.get(tag)
+        return places[-1] if places else -1
+
+    def _push(self, node: Node) -> None:
+        at = len(self.open)
+        self.open.append(node)
+        self.places.setdefault(node.tag, []).append(at)
+        if node.hidden:
+            self.hidden.append(at)
+            if _is_outer(node.tag):
+                self.hidden_outer.append(at)
+
+    def _cut(self, at: int) -> None:
+        """Close all elements from place ``at`` on."""
+        while len(self.open) > at:
+            self.places[self.open.pop().tag].pop()
+        for places in (self.hidden, self.hidden_outer):
+            while places and places[-1] >= at:
+                places.pop()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         given = {k: v or "" for k, v in attrs}
@@ -92,7 +95,7 @@ class _Builder(HTMLParser):
         if not node.hidden:
             self.open[-1].children.append(node)
         if tag not in _VOID:
-            self.open.append(node)
+            self._push(node)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if not is_hidden(tag, {k: v or "" for k, v in attrs}):
@@ -100,25 +103,20 @@ class _Builder(HTMLParser):
 
     def _close(self, tags: set[str], scope: set[str], within_hidden: bool = False) -> None:
         """Close the nearest open elements of ``tags``, not beyond one of ``scope`` (or a hidden element)."""
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in tags:
-                last = i
-                while last > 1 and self.open[last - 1].tag in tags:
-                    last -= 1
-                del self.open[last:]
-                return
-            if self.open[i].tag in scope or (within_hidden and self.open[i].hidden):
-                return
+        at = max(map(self._last, tags))
+        if at < 0 or at < max(map(self._last, scope)) or (within_hidden and self.hidden and at < self.hidden[-1]):
+            return
+        while at > 1 and self.open[at - 1].tag in tags:
+            at -= 1
+        self._cut(at)
 
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                return
-            if self.open[i].tag == "table" and tag != "table":
-                return  # what a table holds doesn't close what is around it
-            if self.open[i].hidden and _is_outer(self.open[i].tag) and not _is_outer(tag):
-                return  # a stray end of an inline element doesn't end the hiding
+        at = self._last(tag)
+        if at < 0 or (tag != "table" and at < self._last("table")):
+            return  # what a table holds doesn't close what is around it
+        if self.hidden_outer and at < self.hidden_outer[-1] and not _is_outer(tag):
+            return  # a stray end of an inline element doesn't end the hiding
+        self._cut(at)
 
     def handle_data(self, data: str) -> None:
         self.open[-1].children.append(data)
@@ -131,30 +129,82 @@ def parse(html: str | None) -> Node:
     return builder.root
 
 
-def bold_or_underlined(node: Node) -> bool:
-    style = node.style()
-    if "font-weight:bold" in style or "font-weight:700" in style or "text-decoration:underline" in style:
-        return True
-    return node.tag in ("b", "strong", "u") or any(n.tag in ("b", "strong", "u") for n in node.walk())
+class Page:
+    """A tree laid out in document order, with what is asked of subtrees counted once.
 
+    A subtree is the stretch of elements ``node`` to ``past[node]``, and of text pieces ``pieces[first[node]:end[node]]``.
+    """
 
-def italic(node: Node) -> bool:
-    return "font-style:italic" in node.style() or node.tag in ("i", "em") or any(n.tag in ("i", "em") for n in node.walk())
+    def __init__(self, root: Node):
+        self.nodes: list[Node] = []
+        self.past: list[int] = []
+        self.first: list[int] = []
+        self.end: list[int] = []
+        self.pieces: list[str] = []
+        self.bold, self.slanted, blocks = [0], [0], []
+        stack: list[tuple[int, Iterator[Node | str]]] = [(-1, iter([root]))]
+        silent = 0
+        while stack:
+            owner, children = stack[-1]
+            child = next(children, None)
+            if child is None:
+                stack.pop()
+                if owner >= 0:
+                    self.past[owner], self.end[owner] = len(self.nodes), len(self.pieces)
+                    silent -= self.nodes[owner].tag in _SILENT
+            elif isinstance(child, str):
+                if not silent and (piece := child.strip()):
+                    self.pieces.append(piece)
+            else:
+                at = len(self.nodes)
+                self.nodes.append(child)
+                self.past.append(at)
+                self.first.append(len(self.pieces))
+                self.end.append(0)
+                self.bold.append(self.bold[-1] + (child.tag in ("b", "strong", "u")))
+                self.slanted.append(self.slanted[-1] + (child.tag in ("i", "em")))
+                if child.tag in BLOCK_TAGS:
+                    blocks.append(at)
+                silent += child.tag in _SILENT
+                stack.append((at, iter(child.children)))
+        # The next block after each element, in document order.
+        self.next_block = [len(self.nodes)] * (len(self.nodes) + 1)
+        for at in range(len(self.nodes) - 1, -1, -1):
+            self.next_block[at] = at + 1 if at + 1 < len(self.nodes) and self.nodes[at + 1].tag in BLOCK_TAGS else self.next_block[at + 1]
+
+    def text(self, at: int) -> str:
+        """All text pieces without blanks around them, joined by one space."""
+        return " ".join(self.pieces[self.first[at] : self.end[at]])
+
+    def inner_block(self, at: int) -> int | None:
+        found = self.next_block[at]
+        return found if found < self.past[at] else None
+
+    def bold_or_underlined(self, at: int) -> bool:
+        style = self.nodes[at].style()
+        if "font-weight:bold" in style or "font-weight:700" in style or "text-decoration:underline" in style:
+            return True
+        return self.bold[self.past[at]] > self.bold[at]
+
+    def italic(self, at: int) -> bool:
+        return "font-style:italic" in self.nodes[at].style() or self.slanted[self.past[at]] > self.slanted[at]
 
 
 def _cell_grid(table: Node) -> tuple[list[list[str]], int]:
     """Cell texts of all rows, spans filled in, and how many of the first rows are the header."""
     sections: dict[str, list[Node]] = {"thead": [], "tbody": [], "tfoot": []}
 
-    def collect(node: Node, section: str) -> None:
-        for child in node.children:
-            if isinstance(child, Node):
-                if child.tag == "tr":
-                    sections[section].append(child)
-                elif child.tag in sections:
-                    collect(child, child.tag)
-
-    collect(table, "tbody")
+    stack = [("tbody", iter(table.children))]
+    while stack:
+        section, children = stack[-1]
+        child = next(children, None)
+        if child is None:
+            stack.pop()
+        elif isinstance(child, Node):
+            if child.tag == "tr":
+                sections[section].append(child)
+            elif child.tag in sections:
+                stack.append((child.tag, iter(child.children)))
     head, body = sections["thead"], sections["tbody"]
     cells = lambda row: [c for c in row.children if isinstance(c, Node) and c.tag in ("td", "th")]
     if not head:
@@ -193,11 +243,15 @@ def _cell_grid(table: Node) -> tuple[list[list[str]], int]:
 
 
 def _raw(node: Node) -> Iterator[str]:
-    for child in node.children:
-        if isinstance(child, str):
+    stack = [iter(node.children)]
+    while stack:
+        child = next(stack[-1], None)
+        if child is None:
+            stack.pop()
+        elif isinstance(child, str):
             yield child
         elif child.tag not in _SILENT:
-            yield from _raw(child)
+            stack.append(iter(child.children))
 
 
 def table_cells(table: Node) -> tuple[list[str], list[list[str]]] | None:
@@ -231,44 +285,51 @@ def table_cells(table: Node) -> tuple[list[str], list[list[str]]] | None:
 def _html(node: Node) -> Iterator[str]:
     from html import escape
 
-    yield f"<{node.tag}{''.join(f' {k}="{escape(v)}"' for k, v in node.attrs.items())}>"
-    for child in node.children:
-        if isinstance(child, str):
+    stack: list[tuple[str, Iterator[Node | str]]] = [("", iter([node]))]
+    while stack:
+        closing, children = stack[-1]
+        child = next(children, None)
+        if child is None:
+            stack.pop()
+            yield closing
+        elif isinstance(child, str):
             yield escape(child, quote=False)
         else:
-            yield from _html(child)
-    if node.tag not in _VOID:
-        yield f"</{node.tag}>"
+            yield f"<{child.tag}{''.join(f' {k}="{escape(v)}"' for k, v in child.attrs.items())}>"
+            stack.append(("" if child.tag in _VOID else f"</{child.tag}>", iter(child.children)))
 
 
 def scan(html: str | None, walk: str = "compat") -> Iterator[dict]:
-    """Blocks and outermost tables of one page in document order.
+    """Blocks and outermost tables of one page in document order, however deep they are nested.
 
     A block has is_repeat if its first block within has the same text (only headings before tables go by such blocks).
     ``walk="leaf"`` leaves out blocks that hold other blocks, so no text comes twice; the default keeps them.
     """
-    position = 0
-
-    def visit(node: Node) -> Iterator[dict]:
-        nonlocal position
-        for child in node.children:
-            if not isinstance(child, Node) or child.tag in _SILENT:
-                continue
-            if child.tag == "table":
-                if (found := table_cells(child)) is not None:
-                    yield {"pos": position, "kind": "table", "columns": found[0], "rows": found[1], "raw_html": "".join(_html(child))}
-                    position += 1
-                continue
-            if child.tag in BLOCK_TAGS and (text := child.text()):
-                inner = next((n for n in child.walk() if n.tag in BLOCK_TAGS), None)
-                if walk == "compat" or inner is None:
-                    yield {"pos": position, "kind": "block", "tag": child.tag, "text": text, "bold_ul": bold_or_underlined(child), "italic": italic(child), "is_repeat": inner is not None and inner.text() == text}
-                    position += 1
-            yield from visit(child)
-
-    yield from visit(parse(html))
-
-
+    page = Page(parse(html))
+    position, at = 0, 1
+    while at < len(page.nodes):
+        node = page.nodes[at]
+        if node.tag in _SILENT:
+            at = page.past[at]
+            continue
+        if node.tag == "table":
+            if (found := table_cells(node)) is not None:
+                yield {"pos": position, "kind": "table", "columns": found[0], "rows": found[1], "raw_html": "".join(_html(node))}
+                position += 1
+            at = page.past[at]
+            continue
+        if node.tag in BLOCK_TAGS and page.first[at] < page.end[at]:
+            inner = page.inner_block(at)
+            if walk == "compat" or inner is None:
+                # Text pieces are never empty, so texts are the same exactly if they are made of the same pieces.
+                same = inner is not None and (page.first[inner], page.end[inner]) == (page.first[at], page.end[at])
+                yield {"pos": position, "kind": "block", "tag": node.tag, "text": page.text(at), "bold_ul": page.bold_or_underlined(at), "italic": page.italic(at), "is_repeat": same}
+                position += 1
+        at += 1
+
+
+#: Rows of blocks and tables that are handed on together.
+BATCH_ROWS = 2000
 SCAN_SCHEMA = "doc_id bigint, pos int, kind string, tag string, text string, bold_ul boolean, italic boolean, is_repeat boolean, columns array<string>, rows array<array<string>>, raw_html string"
 
 
@@ -281,10 +342,20 @@ def scan_pages(pages: DataFrame, walk: str = "compat") -> DataFrame:
     types = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.list_(pa.string())), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[dict] = []
+
+        def batch_of() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], t) for n, t in zip(names, types)], names)
+            rows.clear()
+            return out
+
         for batch in batches:
-            for doc, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows = [{"doc_id": doc, **r} for r in scan(html, walk)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], t) for n, t in zip(names, types)], names)
+            for doc, html in zip(batch.column(0), batch.column(1)):
+                for row in scan(html.as_py(), walk):
+                    rows.append({"doc_id": doc.as_py(), **row})
+                    if len(rows) >= BATCH_ROWS:
+                        yield batch_of()
+        if rows:
+            yield batch_of()
 
     return pages.selectExpr("cast(doc_id as bigint) as doc_id", "html").mapInArrow(run, SCAN_SCHEMA)

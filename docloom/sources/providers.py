@@ -1,6 +1,6 @@
 """Connectors to models: text generation, verification and embeddings, with deterministic offline stand-ins.
 
-A provider is a small picklable object; ``open`` is called once for each Python worker and may build a client.
+A provider is a small picklable object that is sent to the workers; calls of one partition come one after another.
 The offline stand-ins exist for tests and dry runs: their scores say nothing about meaning.
 """
 
@@ -15,7 +15,7 @@ from collections.abc import Callable
 from functools import lru_cache
 from typing import Protocol
 
-from ..config import logger, require_env
+from ..config import Config, logger, require_env
 
 
 class Completion(Protocol):
@@ -46,14 +46,25 @@ class ChatEndpoint:
 class EmbeddingEndpoint:
     """Embeddings from an endpoint that speaks the common protocol over HTTP; vectors are scaled to unit length."""
 
-    def __init__(self, base_url: str, model: str, key_variable: str, dimension: int = 384, timeout_s: float = 60.0):
+    def __init__(self, base_url: str, model: str, key_variable: str, dimension: int = 384, timeout_s: float = 60.0, retries: int = 3, backoff_s: float = 2.0):
         self.base_url, self.model, self.key_variable, self.dimension, self.timeout_s = base_url.rstrip("/"), model, key_variable, dimension, timeout_s
+        self.retries, self.backoff_s = retries, backoff_s
 
     def embed(self, texts: list[str]) -> list[list[float]]:
+        """Vectors of the texts; a failed call is tried again with a growing wait, the last failure is raised."""
+        for attempt in range(1, self.retries + 1):
+            try:
+                return self._embed(texts) if texts else []
+            except OSError as error:
+                if attempt == self.retries:
+                    raise
+                logger(__name__).warning("embedding failed (%d of %d): %s", attempt, self.retries, error)
+                time.sleep(self.backoff_s * attempt)
+        return []
+
+    def _embed(self, texts: list[str]) -> list[list[float]]:
         from urllib.request import Request, urlopen
 
-        if not texts:
-            return []
         request = Request(f"{self.base_url}/embeddings", json.dumps({"model": self.model, "input": texts}).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {require_env(self.key_variable)}"})
         with urlopen(request, timeout=self.timeout_s) as reply:
             found = [x["embedding"] for x in sorted(json.load(reply)["data"], key=lambda x: x["index"])]
@@ -153,6 +164,40 @@ answer:
 {answer}"""
 
 
+def load_prompts(folder: str) -> tuple[dict[str, str], str]:
+    """Templates by question type, and the verifier's: ``TYPE.txt`` and ``faithfulness.txt`` of the folder, else the built-in ones.
+
+    A template without the marker of its user part raises here rather than in a task.
+    """
+    from pathlib import Path
+
+    def read(name: str, default: str) -> str:
+        path = Path(folder) / f"{name}.txt" if folder else None
+        text = path.read_text(encoding="utf-8") if path and path.exists() else default
+        split_prompt(text)
+        return text
+
+    return {kind: read(kind, text) for kind, text in PROMPTS.items()}, read("faithfulness", FAITHFULNESS_PROMPT)
+
+
+def providers_of(config: Config) -> tuple[Completion, Completion, Embedder]:
+    """Generator, verifier and embedder of the settings: endpoints where an address is set, else the offline stand-ins.
+
+    A missing key is found out here, before any stage runs.
+    """
+    generator: Completion = OfflineGenerator()
+    verifier: Completion = OfflineVerifier()
+    embedder: Embedder = HashingEmbedder(config.embed_dimension)
+    if config.chat_url or config.embed_url:
+        require_env(config.key_variable)
+    if config.chat_url:
+        generator = ChatEndpoint(config.chat_url, config.chat_model, config.key_variable, config.generation_temperature, config.generation_max_tokens, config.http_timeout_s)
+        verifier = ChatEndpoint(config.chat_url, config.verify_model or config.chat_model, config.key_variable, config.verify_temperature, config.verify_max_tokens, config.http_timeout_s)
+    if config.embed_url:
+        embedder = EmbeddingEndpoint(config.embed_url, config.embed_model, config.key_variable, config.embed_dimension, config.http_timeout_s, config.http_retries, config.http_backoff_s)
+    return generator, verifier, embedder
+
+
 def split_prompt(template: str) -> tuple[str, str]:
     """System and user part; raises ValueError if the marker of the user part is missing."""
     if "USER:" not in template:

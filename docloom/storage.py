@@ -6,12 +6,22 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders this process has written, each with its label.
+_written: list[tuple[str, str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a local one is made only where the session names none (tests)."""
+    """Folder named by ``spark.checkpoint.dir``.
+
+    Only a session whose executors are threads of this machine gets a folder of its own where it names none; on a
+    cluster, a folder of one machine would hold a part of each result, so that is an error.
+    """
     there = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if there:
         return there
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     import tempfile
 
     made = tempfile.mkdtemp(prefix="docloom-")
@@ -24,11 +34,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/docloom/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _written.append((label, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear(spark: SparkSession) -> bool:
-    """Delete all intermediate results in the shared folder; True if there were any. Frames read from them end with it."""
+def clear(spark: SparkSession, label: str | None = None) -> int:
+    """Delete what this process has written, or only what has the ``label``; the number of results deleted.
+
+    Frames read from them end with it. What other processes of the same folder have written is left alone.
+    """
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/docloom")
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    chosen = [x for x in _written if label is None or x[0] == label]
+    deleted = 0
+    for entry in chosen:
+        path = jvm.org.apache.hadoop.fs.Path(entry[1])
+        deleted += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+        _written.remove(entry)
+    return deleted

@@ -3,6 +3,7 @@ import sys
 
 import pytest
 
+os.environ.setdefault("DOCLOOM_TEST_KEY", "k")  # before workers start, as they take their environment from then
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 

@@ -7,7 +7,8 @@ from docloom.config import DEFAULT
 from docloom.functions.numeric import claimed_value, numbers, numeric_check, within_tolerance
 from docloom.functions.text import number_set, pair_text, strip_fences, truncate_to_budget
 from docloom.operators.fuzzy import partial_ratio, with_table_aware_score, with_verbatim_score
-from docloom.operators.generation import candidates, coerce_text, recover_json
+from docloom.functions.text import json_text
+from docloom.operators.generation import as_text, objects
 from docloom.operators.labels import difficulty, difficulty_distribution
 from docloom.operators.sampling import pair_chunks, stride_sample
 from docloom.operators.verification import cosine, read_verdict
@@ -103,18 +104,21 @@ def test_scores(spark):
     assert with_verbatim_score(df.limit(0)).count() == 0
 
 
-def test_json_recovery():
-    assert candidates('[{"a": 1}]') == [{"a": 1}] and candidates('```json\n{"a": 1}\n```') == [{"a": 1}] and candidates('Sure: [{"a": 1}] ok') == [{"a": 1}] and candidates("none") == [] and candidates("5") == [] and candidates("[1") == []
-    assert coerce_text(None) == "" and coerce_text([" a", ["b", 3]]) == "a b 3" and coerce_text(0.32) == "0.32" and coerce_text(True) == "True"
-    assert recover_json('x {"a": 1} y', "{}") == {"a": 1}
+def test_json_recovery(spark):
+    raws = ['[{"a": 1}]', '```json\n{"a": 1}\n```', 'Sure: [{"a": 1}] ok', "none", "5", "[1", None, '[1, {"a": 1}, null]']
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(raws)], "i int, raw string")
+    found = [objects(r["j"]) for r in df.select("i", json_text(F.col("raw")).alias("j")).orderBy("i").collect()]
+    assert found == [[{"a": 1}]] * 3 + [[]] * 4 + [[{"a": 1}]]
+    assert as_text(None) == "" and as_text([" a", ["b", 3]]) == "a b 3" and as_text(0.32) == "0.32" and as_text(True) == "True"
+    assert spark.createDataFrame([('x {"a": 1} y',)], "raw string").select(json_text(F.col("raw"), "{}").alias("j")).first()["j"] == '{"a": 1}'
     assert split_prompt("SYSTEM:\nBe.\n\nUSER:\nAsk {n}") == ("Be.", "Ask {n}")
     with pytest.raises(ValueError):
         split_prompt("no marker")
 
 
 def test_verdicts():
-    assert read_verdict('{"matches_claimed_answer": "True", "confidence": "high", "reason": "r"}') == (True, "high", "r")
-    assert read_verdict('{"matches_claimed_answer": null}') == (None, None, "") and read_verdict("[1]")[0] is None and read_verdict(None)[0] is None and read_verdict('{"matches_claimed_answer": 0}')[0] is False
+    assert read_verdict(True, '{"matches_claimed_answer": "True", "confidence": "high", "reason": "r"}') == (True, "high", "r")
+    assert read_verdict(True, '{"matches_claimed_answer": null}') == (None, None, "") and read_verdict(True, "[1]")[0] is None and read_verdict(False, None)[2].endswith("reached") and read_verdict(True, '{"matches_claimed_answer": 0}')[0] is False
     waits, calls = [], []
 
     class Down:
@@ -147,7 +151,7 @@ def test_pairs(spark):
     rows = [(1, f"c{i}", None if i < 60 else "P", None if i < 60 else f"I{i // 30}", i) for i in range(120)] + [(2, "solo", "P", None, 0)]
     df = spark.createDataFrame(rows, "doc_id int, chunk_id string, part string, item string, order_index int")
     got = pair_chunks(df, "comparison").collect()
-    assert len(got) == 121 and got == pair_chunks(df.repartition(3), "comparison").orderBy("doc_id", "position").collect() or len(got) == 121
+    assert len(got) == 121 and sorted(got, key=lambda r: (r["doc_id"], r["position"])) == pair_chunks(df.repartition(3), "comparison").orderBy("doc_id", "position").collect()
     section = {r[1]: r[2:4] for r in rows}
     second = [r["second_id"] for r in got if r["second_id"]]
     assert len(second) == len(set(second)) and 20 < len(second) < 60

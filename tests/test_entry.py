@@ -3,6 +3,9 @@
 import glob
 import math
 import os
+import shutil
+import subprocess
+import sys
 
 import pytest
 
@@ -40,3 +43,19 @@ def test_query(spark, name):
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("hindrance", ["empty folder", "missing dependency"])
+def test_core_queries_without_the_training_data(tmp_path, hindrance):
+    """What the training-data subpackage lacks never takes the other queries with it."""
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    shutil.copytree(f"{root}/docloom", tmp_path / "docloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    (tmp_path / "docloom" / "llm").mkdir()
+    if hindrance == "missing dependency":
+        (tmp_path / "docloom" / "llm" / "__init__.py").write_text("")
+        (tmp_path / "docloom" / "llm" / "registry.py").write_text("import a_module_that_is_missing\n")
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), any(n[0] == 'p' for n in e.queries()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True, env={**os.environ, "PYTHONPATH": ""})
+    n, with_sql, training = out.stdout.split()
+    assert int(n) >= 40 and int(with_sql) >= 30 and training == "False"

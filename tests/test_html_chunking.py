@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +7,7 @@ from docloom.config import DEFAULT
 from docloom.functions.text import token_estimate, words
 from docloom.operators.chunking import chunk_pages, heading_level, merge_small, pack_paragraphs, with_heading_state
 from docloom.operators.tables import drop_empty, extract_tables, pipe_text, table_passages
-from docloom.sources.html import bold_or_underlined, italic, parse, scan, scan_pages
+from docloom.sources.html import Page, parse, scan, scan_pages
 
 
 @pytest.mark.parametrize(
@@ -33,16 +35,38 @@ def test_styled_headings(spark, text, bold, slanted, level):
 
 
 def test_styles():
-    node = lambda html: parse(html).children[0]
-    assert bold_or_underlined(node("<p>a <b>x</b></p>")) and bold_or_underlined(node('<p style="font-weight: bold">a</p>')) and bold_or_underlined(node('<p style="FONT-WEIGHT:700">a</p>'))
-    assert bold_or_underlined(node('<p style="text-decoration: underline">a</p>')) and bold_or_underlined(node("<p><u>a</u></p>")) and not bold_or_underlined(node("<p><i>a</i></p>"))
-    assert italic(node("<p><em>a</em></p>")) and italic(node('<p style="font-style: italic">a</p>')) and not italic(node("<p>a</p>"))
+    bold, slanted = (lambda html: Page(parse(html)).bold_or_underlined(1)), (lambda html: Page(parse(html)).italic(1))
+    assert bold("<p>a <b>x</b></p>") and bold('<p style="font-weight: bold">a</p>') and bold('<p style="FONT-WEIGHT:700">a</p>')
+    assert bold('<p style="text-decoration: underline">a</p>') and bold("<p><u>a</u></p>") and not bold("<p><i>a</i></p>")
+    assert slanted("<p><em>a</em></p>") and slanted('<p style="font-style: italic">a</p>') and not slanted("<p>a</p>")
 
 
 def texts(html, **k):
     return [r["text"] for r in scan(html, **k) if r["kind"] == "block" and not r["is_repeat"]]
 
 
+@pytest.mark.parametrize("tag", ["div", "font", "b", "p", "li", "td", "table", "span"])
+def test_deep_and_unclosed_nesting_takes_time_in_proportion(tag):
+    """Neither recursion nor the depth of what is open limits or slows a page."""
+
+    def seconds(n, hide):
+        page = "<p>first</p>" + (f"<div style='display:none'>{f'<{tag}>a' * n}</div>" if hide else f"<{tag}>" * n + "x" + f"</{tag}>" * n) + "<p>last</p>"
+        began = time.perf_counter()
+        found = texts(page, walk="leaf")
+        if tag not in ("div", "table"):  # an open part of these is what the end tag closes
+            assert found[0] == "first" and (not hide or found == ["first", "last"])
+        return time.perf_counter() - began
+
+    for hide in (False, True):
+        assert seconds(100_000, hide) < 60 * max(0.05, seconds(5_000, hide))
+
+
+def test_deep_cells():
+    page = f"<table><tr><td>{'<b>' * 20_000}k{'</b>' * 20_000}</td><td>v</td></tr><tr><td>a</td><td>1</td></tr></table>"
+    found = [r for r in scan(page) if r["kind"] == "table"]
+    assert found[0]["rows"] == [["k", "v"], ["a", "1"]] and found[0]["raw_html"].startswith("<table><tr><td><b>")
+
+
 def test_hidden_content_is_gone():
     page = '<ix:header><p>meta</p></ix:header><div style="display: none"><p>a<span style="visibility:hidden">b</span></p></div><p>seen <ix:nonfraction>5</ix:nonfraction></p><header><p>kept</p></header><header class="fixed"><p>gone</p></header><hidden><p>kept too</p></hidden>'
     assert texts(page) == ["seen 5", "kept", "kept too"]

@@ -46,6 +46,16 @@ def test_chain_is_not_a_group(spark):
     assert similar_pairs(df.limit(0), 0.9).count() == 0
 
 
+def test_long_chains_settle(spark):
+    """Each node is like the one before only: every other one is kept, whether decided in rounds or in one task."""
+    n = 10_000
+    pairs = spark.range(1, n).selectExpr("id - 1 as a", "id as b", "id - 1 as a_ord", "id as b_ord", "0.9D as cosine")
+    marked = keep_first(spark.range(n), pairs)
+    assert marked.where("is_kept != (id % 2 = 0)").count() == 0 and marked.where("not is_kept and dup_of != id - 1").count() == 0
+    short = pairs.where("b < 12")
+    assert sorted(keep_first(spark.range(12), short, finish_edges=0).collect()) == sorted(keep_first(spark.range(12), short).collect())
+
+
 def test_questions_are_compared_within_a_document(spark):
     rows = [(1, "a", 1, "What is the net revenue?"), (1, "b", 2, "What is the net revenue?"), (2, "c", 3, "What is the net revenue?"), (1, "d", 4, None)]
     got = {r["id"]: (r["is_kept"], r["dup_of"]) for r in deduplicate(spark.createDataFrame(rows, "doc_id long, id string, generation_order int, question string"), HashingEmbedder(64)).collect()}
@@ -72,6 +82,7 @@ def test_pipeline_end_to_end(spark, tmp_path):
     back = read_csv(spark, str(tmp_path / "out"), schema)
     assert back.count() == len(rows) and back.columns == result.output.columns
     assert any("True" in p.read_text() for p in (tmp_path / "out").glob("*.csv"))
+    assert result.figures["rows"] == len(rows) == sum(result.figures["by_difficulty"].values()) and 0 < result.figures["kept_share"] <= 1
     unverified = run(source, skip_verify=True, config=Config())
     assert unverified.verified.where("not keep or verifier_reason <> 'SKIPPED'").count() == 0
     with pytest.raises(EmptyStage):
@@ -80,6 +91,13 @@ def test_pipeline_end_to_end(spark, tmp_path):
         run(source, config=Config(recall_from=2.0))
 
 
+def test_stage_files_are_reused(spark, tmp_path):
+    pages = spark.createDataFrame([(1, PAGE)], "doc_id long, html string")
+    first = run(pages, config=Config(min_rows=1, recall_from=0.05), stage_path=str(tmp_path / "stages"))
+    again = run(pages.limit(0), config=Config(min_rows=1, recall_from=0.05), stage_path=str(tmp_path / "stages"))
+    assert first.chunks.count() == again.chunks.count() > 0 and sorted(again.output.collect()) == sorted(first.output.collect())
+
+
 def test_files(spark, tmp_path):
     rows = spark.createDataFrame([(1, "chunk_00000", "A", None, None, 'x "q"\ny, z', 3, 0)], CHUNK_SCHEMA)
     write_json(rows, str(tmp_path / "j"))
