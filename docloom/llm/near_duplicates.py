@@ -33,7 +33,7 @@ THRESHOLD = (4, 5)  # 0.8, as a fraction: integer arithmetic decides ties
 #: set is compared with so many others of a key at most.
 LEADS_A_KEY = 64
 #: Size of the frequency table that words are ordered by; words of one slot only share an estimate, results don't depend on it.
-FREQUENCY_SLOTS = 1 << 18
+FREQUENCY_SLOTS = 1 << 16
 _END = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -71,11 +71,11 @@ _LOST = 3  # place of the feature that says that the last clause lost its end
 
 def _script(text: str) -> str:
     """Script of most letters, by the names that Unicode gives them; empty without letters."""
-    counts: Counter[str] = Counter()
-    for c in text:
-        if c.isalpha():
-            counts["LATIN" if c < "\u0250" else _script_of(c)] += 1
-    return counts.most_common(1)[0][0] if counts else ""
+    far = [c for c in text if c >= "\u0250" and c.isalpha()]
+    counts = Counter(map(_script_of, far))
+    counts["LATIN"] += sum(map(str.isalpha, text)) - len(far)
+    script, n = counts.most_common(1)[0]
+    return script if n else ""
 
 
 @lru_cache(maxsize=20_000)

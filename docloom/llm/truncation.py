@@ -20,7 +20,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -120,11 +120,33 @@ def _style(tokens: list[str], n: int, at: int) -> str:
     return tokens[at + 1].strip(",.;") if tokens[at + 1][:4] in ("mill", "thou", "bill") else "plain"
 
 
-def _keys(tokens: list[str], n: int, at: int) -> tuple[int, int]:
-    """Keys of the first ``n`` words, with and without the opening words. Takes the same time for every ``n``."""
-    end = "\x1f".join((_style(tokens, n, at), *tokens[max(0, n - LAST_WORDS) : n]))
-    full = "\x1f".join((*tokens[: min(OPENING_WORDS, n)], end))
-    return xxhash.xxh3_64_intdigest(full) - (1 << 63), xxhash.xxh3_64_intdigest("\x1f" + end) - (1 << 63)
+class _TokenHashes(dict):
+    """64-bit hash of each token; emptied when full, so memory stays bounded."""
+
+    LIMIT = 200_000
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        value = self[token] = xxhash.xxh3_64_intdigest(token) >> 2
+        return value
+
+
+_hashes = _TokenHashes()
+
+
+def _keys(tokens: list[str], at: int, sizes: Iterable[int]) -> Iterator[tuple[int, int]]:
+    """Keys of the first words of a text, for each of the ``sizes``, with and without the opening words.
+
+    Each takes the same time however long the text is. Hashes of tuples of numbers are the same in every process.
+    """
+    numbers = [_hashes[t] for t in tokens]
+    plain, later = _hashes[""], _hashes[_style(tokens, len(tokens), at)]
+    padded = [0] * LAST_WORDS + numbers
+    opening = numbers[:OPENING_WORDS] + [0] * OPENING_WORDS
+    for n in sizes:
+        end = (later if at + 1 < n else plain, *padded[n : n + LAST_WORDS])
+        yield hash((*opening[: min(n, OPENING_WORDS)], end)), hash((0, end))
 
 
 def _ended(unit: str) -> tuple[str, bool]:
@@ -227,10 +249,13 @@ def open_words(texts: DataFrame) -> frozenset[str]:
     Only words of at least ``OPEN_LEAST_SHARE`` of all words come to the driver, so at most 1 / ``OPEN_LEAST_SHARE``.
     """
     tokens = texts.select(F.split("text", r"\s+").alias("t")).select(F.size("t").alias("n"), F.posexplode("t").alias("i", "t"))
+    # Summed up as they are written first, so that each form is taken apart once for every task only.
+    written = tokens.groupBy("t").agg(F.count("*").alias("n"), F.sum((F.col("i") == F.col("n") - 1).cast("long")).alias("ends"))
     quotes = "\"'“«”»"
     word = F.regexp_extract("t", rf"^[({quotes}]*(\p{{Ll}}+)[.!?;:,){quotes}]*$", 1)
-    tokens = tokens.select(word.alias("w"), F.col("t").rlike(rf"[.!?;][){quotes}]*$").alias("stop"), (F.col("i") == F.col("n") - 1).alias("last")).where("w != ''")
-    counts = tokens.groupBy("w").agg(F.count("*").alias("n"), F.sum(F.col("stop").cast("long")).alias("stops"), F.sum((F.col("last") & ~F.col("stop")).cast("long")).alias("ends"))
+    stop = F.col("t").rlike(rf"[.!?;][){quotes}]*$")
+    words = written.select(word.alias("w"), "n", F.when(stop, F.col("n")).otherwise(0).alias("stops"), F.when(stop, 0).otherwise(F.col("ends")).alias("ends")).where("w != ''")
+    counts = words.groupBy("w").agg(F.sum("n").alias("n"), F.sum("stops").alias("stops"), F.sum("ends").alias("ends"))
     counts = materialize(counts, "p1-words")
     total = counts.agg(F.sum("n")).first()[0] or 0
     frequent = counts.where(F.col("n") >= max(OPEN_LEAST, OPEN_LEAST_SHARE * total))
@@ -257,10 +282,11 @@ def form_counts(answers: DataFrame, openers: frozenset[str]) -> DataFrame:
                     bare, _ = _ended(unit)
                     tokens = _tokens(bare, openers)
                     at = _first_sum(tokens)
-                    for n in range(1, len(tokens)):
-                        longer.update(_keys(tokens, n, at))
-                    if tokens:
-                        ends.update(_keys(tokens, len(tokens), at))
+                    for full, tail in _keys(tokens, at, range(1, len(tokens))):
+                        longer[full] += 1
+                        longer[tail] += 1
+                    for key in _keys(tokens, at, [len(tokens)] if tokens else []):
+                        ends.update(key)
                 if len(ends) + len(longer) > 200_000:
                     yield flush()
         yield flush()
@@ -293,8 +319,8 @@ def answer_verdicts(answers: DataFrame) -> DataFrame:
                     continue  # ends in a stop after a word
                 if len(tokens) < 2 or all(t.startswith("X") for t in tokens):
                     tokens = []  # a single word or a mere name has no form of its own
-                form, tail = _keys(tokens, n, first) if tokens else (None, None)
-                before = _keys(tokens, n - 1, first)[0] if len(tokens) > 1 else None
+                form, tail = next(_keys(tokens, first, [n])) if tokens else (None, None)
+                before = next(_keys(tokens, first, [n - 1]))[0] if len(tokens) > 1 else None
                 rows.append((k, None, form, tail, before, answer_form(text, last_never), stop, bool(tokens) and _can_be_fragment(tokens[-1])))
             cols = list(zip(*rows)) if rows else [[]] * 8
             types = [batch.schema.field(0).type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_()]
