@@ -109,7 +109,7 @@ def _hits(words: set[str]) -> list[int]:
 
 def prompt_of(question: str, passage: str = "") -> Prompt:
     written = set(_WORD.findall(question))
-    words = frozenset(w.lower() for w in written)
+    words = frozenset(map(str.lower, written))
     counts = _hits(written if any(w[0].islower() for w in written) else words)
     best = max(counts)
     return Prompt(words, counts.index(best) if best else -1, "LATIN" if question.isascii() and words else _script(question), frozenset(_WORD.findall(passage.lower())))
@@ -166,6 +166,15 @@ def _log_ratios(refusals: list[list[str]], said: Counter[str], n_answers: int) -
     return {w: float(np.log((declined[w] + _WEIGHT_OF_UNSEEN) / total) - np.log((said[w] + _WEIGHT_OF_UNSEEN) / others)) for w in declined.keys() | said.keys()}
 
 
+def _pull(ratio: dict[str, float], word: str) -> float:
+    """How much likelier a word, or its beginning, is where somebody declines; the surer of both."""
+    own = ratio.get(word, 0.0)
+    if len(word) <= 5:
+        return own
+    begun = ratio.get("^" + word[:5], 0.0)
+    return begun if abs(begun) > abs(own) else own
+
+
 def loose_words(prompt: Prompt, clause: str) -> list[str]:
     """Words in lower case that stand neither in the question nor in the passage; names are left out."""
     out = []
@@ -186,7 +195,7 @@ def features(prompt: Prompt, clause: str, first: bool, last: bool, lost: bool, l
     if 0.5 <= inside < 1:  # an echo with slips, perhaps
         known = [k or "".join(sorted(w)) in prompt.letters for w, k in zip(words, known)]
         inside = sum(known) / n
-    covered = len({w for w, k in zip(words, known) if k}) / max(1, len(prompt.words))
+    covered = len(prompt.words.intersection(words) if inside < 0.5 or inside == 1 else {w for w, k in zip(words, known) if k}) / max(1, len(prompt.words))
     fresh_number, brought, loose = False, 0, []
     for i, (w, low, k) in enumerate(zip(written, words, known)):
         if k:
@@ -202,14 +211,14 @@ def features(prompt: Prompt, clause: str, first: bool, last: bool, lost: bool, l
     counts = _hits({*written, *words[:1]})
     language = prompt.language
     own = counts[language] if language >= 0 else 0
-    other = max((c for i, c in enumerate(counts) if i != language), default=0) if language >= 0 else 0
+    other = max(counts[:language] + counts[language + 1 :]) if language >= 0 else 0
     m = len(loose)
     found = [lexicon.known(language, w) for w in loose] if language >= 0 else []
     strange = sum(not f for f, _ in found)
     triples = sum(t for f, t in found if not f) / strange if strange else 1.0
     ratio = lexicon.ratios[fold]
-    said = [max((ratio[x] for x in _pieces(w) if x in ratio), key=abs, default=0.0) for w in loose]
-    pull, top = sum(said), max(said, default=0.0)
+    said = [_pull(ratio, w) for w in loose]
+    pull, top = sum(said), max(said) if said else 0.0
     mean = pull / m if m else 0.0
     foreign_script = bool(prompt.script) and not clause.isascii() and (script := _script(clause)) != "" and script != prompt.script
     amount = bool(_AMOUNT.search(clause))
@@ -449,9 +458,14 @@ class Judge:
     def judge(self, rows: list[tuple[str | None, str, str | None]]) -> list[tuple[str | None, str | None]]:
         """Defects of (question, answer, passage), each twice: if the answer's end is there, and if it is lost."""
         found, sizes = [], []
+        lexicon = self.lexicon
         for question, text, passage in rows:
             prompt, parts = prompt_of(question or "", passage or ""), clauses(text)
-            found += [features(prompt, c, i == 0, i + 1 == len(parts), False, self.lexicon) for i, c in enumerate(parts)]
+            if len(parts) == 1:
+                found.append(features(prompt, parts[0], True, True, False, lexicon))
+                sizes.append((1,))
+                continue
+            found += [features(prompt, c, i == 0, i + 1 == len(parts), False, lexicon) for i, c in enumerate(parts)]
             sizes.append([max(1, len(c.split())) for c in parts])
         if not rows:
             return []
@@ -470,8 +484,13 @@ def train(pairs: list[Pair]) -> Judge:
     return Judge(fit(*training_sequences(kept, lexicon, seed=6)), lexicon)
 
 
+_DEFECT_OF_ALL = (None, "refusal", "copies_question", "other_language", "truncated_answer")  # of a response with one tag only
+
+
 def defect_of(tags: np.ndarray, sizes: list[int]) -> str | None:
     """The pair's defect, by how much of the response each tag covers (in words)."""
+    if len(sizes) == 1:
+        return _DEFECT_OF_ALL[tags[0]]
     cover = np.bincount(tags, sizes, len(TAGS)) / max(1, sum(sizes))
     if cover[REFUSAL] > 0 and cover[REFUSAL] >= cover[ANSWER]:
         return "refusal"
