@@ -109,6 +109,7 @@ class Transducer:
     steps: dict[tuple[str, str], str]  # a letter and the sign after it, as one letter
     order: dict[str, int]  # canonical class of each mark
     clusters: re.Pattern[str]
+    plane_clusters: re.Pattern[str]  # the same for texts within the basic plane, whose classes are looked up at once
 
     def write(self, cluster: str) -> str:
         """The one form of a cluster."""
@@ -184,10 +185,14 @@ def transducer() -> Transducer:
                 steps[chr(two), chr(0x11A7 + tail)] = chr(two + tail)
     followers = marks | {b for _, b in steps} | {c for c, r in reads.items() if r == ""} | {c for c, r in reads.items() if r and (r[0] in marks)}
     # A letter that its own parts lead back to needs no reading where it stands alone.
-    alone = Transducer(reads, steps, order, re.compile(""))
+    alone = Transducer(reads, steps, order, re.compile(""), re.compile(""))
     keys = {c for c in reads if alone.write(c) != c}
-    pattern = re.compile(f"[^{_ranges(followers)}\n\r]?[{_ranges(followers)}]+|[{_ranges(keys)}]|\r\n?")
-    out = Transducer(reads, steps, order, pattern)
+
+    def pattern(last: str) -> re.Pattern[str]:
+        after, changed = (_ranges({c for c in chars if c <= last}) for chars in (followers, keys))
+        return re.compile(f"[^{after}\n\r]?[{after}]+|[{changed}]|\r\n?")
+
+    out = Transducer(reads, steps, order, pattern("\U0010ffff"), pattern("\uffff"))
     for c in reads:
         once = out.write(c)
         if out.write(once) != once and "".join(map(out.write, once)) != once:
@@ -213,15 +218,18 @@ class _Memo(dict):
 _outputs = _Memo()
 
 
+_CONTROLS = re.compile("[\r\t\x0b\x0c]")
+
+
 def canonical_text(text: str | None) -> str | None:
     """The one form of ``text``; null stays null. Applying it again changes nothing."""
     if text is None:
         return None
-    if text.isascii():
-        if "\r" in text or "\t" in text or "\x0b" in text or "\x0c" in text:
-            return transducer().clusters.sub(lambda m: _outputs[m.group()], text)
+    if text.isascii() and not _CONTROLS.search(text):
         return text
-    return transducer().clusters.sub(lambda m: _outputs[m.group()], text)
+    compiled = transducer()
+    plane = len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text)
+    return (compiled.plane_clusters if plane else compiled.clusters).sub(lambda m: _outputs[m.group()], text)
 
 
 def canonical_records(spark: SparkSession, sf_dir: str) -> DataFrame:
