@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,7 @@ from ..functions import numeric, text
 from ..operators import chunking, dedup, fuzzy, generation, labels, sampling, tables, verification
 from ..sources import files
 from ..sources.html import scan_pages
-from ..storage import shared_dir
+from ..storage import work_path
 from . import catalog_sql
 
 
@@ -290,7 +289,7 @@ def q_output_rows(spark, sf_dir):
 def q_jsonl_round_trip(spark, sf_dir):
     """The finished rows, written as JSON lines and read again."""
     rows = q_output_rows(spark, sf_dir)
-    path = f"{shared_dir(spark).rstrip('/')}/docloom/jsonl-{uuid.uuid4().hex}"
+    path = work_path(spark, "jsonl")
     files.write_json(rows, path)
     return files.read_json(spark, path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema))
 
@@ -298,7 +297,7 @@ def q_jsonl_round_trip(spark, sf_dir):
 def q_stage_round_trip(spark, sf_dir):
     """Tables in their stage format, written and read strictly."""
     rows = _tables(spark, sf_dir).select(F.col("filing_id").alias("doc_id"), "table_id", "heading_path", "part", "item", "order_index", "n_rows", "n_cols", F.col("col_names").alias("columns"), F.col("cell_rows").alias("rows"), "raw_html")
-    path = f"{shared_dir(spark).rstrip('/')}/docloom/tables-{uuid.uuid4().hex}"
+    path = work_path(spark, "tables")
     files.write_json(rows, path)
     return files.read_json(spark, path, files.TABLE_SCHEMA).drop("columns", "rows")
 

@@ -29,12 +29,18 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def work_path(spark: SparkSession, label: str) -> str:
+    """A new folder in the shared one, to be deleted by ``clear``."""
+    path = f"{shared_dir(spark).rstrip('/')}/docloom/{label}-{uuid.uuid4().hex}"
+    _written.append((label, path))
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: lineage is cut, and a lost executor loses nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/docloom/{label}-{uuid.uuid4().hex}"
+    path = work_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    _written.append((label, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
