@@ -100,9 +100,24 @@ def _mask(token: str) -> str:
     return token
 
 
+class _Masks(dict):
+    """Shape of each token met so far; emptied when full, so memory stays bounded."""
+
+    LIMIT = 200_000
+
+    def __missing__(self, token: str) -> str:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        value = self[token] = _mask(token)
+        return value
+
+
+_masks = _Masks()
+
+
 def _tokens(unit: str, openers: frozenset[str]) -> list[str]:
     words = unit.split()
-    out = [_mask(w) for w in words]
+    out = [_masks[w] for w in words]
     if words and (first := words[0].lower()) in openers:
         out[0] = first
     return out
