@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Config
 
 
-def with_types(groups: DataFrame, types: tuple[str, ...]) -> DataFrame:
-    """Every group once for each question type; the types are a literal, so nothing is joined."""
-    return groups.withColumn("question_type", F.explode(F.array(*[F.lit(t) for t in types])))
-
-
 def draw(*parts: Column) -> Column:
     """A number in [0, 1) that depends on the parts alone, the same in every engine: 13 hex digits of an MD5."""
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 13), 16, 10).cast("double") / float(16**13)
