@@ -54,6 +54,7 @@ _BY_WORD: dict[str, list[int]] = {}
 for _i, _name in enumerate(_LANGUAGES):
     for _w in FUNCTION_WORDS[_name].split():
         _BY_WORD.setdefault(_w, []).append(_i)
+_COMMON = frozenset(_BY_WORD)
 
 _REPORT_GATE = ('"', "“", "«", "„", "”", "»", "stated", "says", "said", "management", "the company", "the board", "the registrant", "the chair", "the filing", "it refused", "it declined", "request was", "declined the", "in the words", "turned ", "we ")
 # How a statement of the company is reported.
@@ -63,12 +64,20 @@ _UNITS = frozenset(["million", "thousand", "billion", "percent"])  # fixed value
 _CLAUSE = re.compile(r"(?<=[.!?;。])[\"”»)\]]*\s+")
 _LEAD = re.compile(r"^(?:answer|antwort|respuesta|réponse|question|q|a)\s*[:.]\s*", re.IGNORECASE)
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
+_BLANKED = bytes(i if chr(i).isalnum() and i < 128 else 32 for i in range(256))
 
 N_FEATURES = 59
 _WEIGHT_OF_UNSEEN = 0.5  # added to the counts of words, for those that were never met
 _LOST = 3  # place of the feature that says that the last clause lost its end
 
 
+def _written(text: str) -> list[str]:
+    """What ``_WORD`` finds, without a search where words are plain."""
+    if text.isascii() and "'" not in text:
+        return text.encode().translate(_BLANKED).decode().split()
+    return _WORD.findall(text)
+
+
 def _script(text: str) -> str:
     """Script of most letters, by the names that Unicode gives them; empty without letters."""
     far = [c for c in text if c >= "\u0250" and c.isalpha()]
@@ -101,18 +110,18 @@ class Prompt:
 
 def _hits(words: set[str]) -> list[int]:
     counts = [0] * len(_LANGUAGES)
-    for w in words & _BY_WORD.keys():
+    for w in words & _COMMON:
         for i in _BY_WORD[w]:
             counts[i] += 1
     return counts
 
 
 def prompt_of(question: str, passage: str = "") -> Prompt:
-    written = set(_WORD.findall(question))
+    written = set(_written(question))
     words = frozenset(map(str.lower, written))
     counts = _hits(written if any(w[0].islower() for w in written) else words)
     best = max(counts)
-    return Prompt(words, counts.index(best) if best else -1, "LATIN" if question.isascii() and words else _script(question), frozenset(_WORD.findall(passage.lower())))
+    return Prompt(words, counts.index(best) if best else -1, "LATIN" if question.isascii() and words else _script(question), frozenset(_written(passage.lower())))
 
 
 def clauses(text: str) -> list[str]:
@@ -140,7 +149,7 @@ class Lexicon:
         met = [Counter() for _ in _LANGUAGES]
         for language, text in texts:
             if language >= 0:
-                met[language].update({w.lower() for w in _WORD.findall(text) if w.isalpha()})
+                met[language].update({w.lower() for w in _written(text) if w.isalpha()})
         self.familiar = [frozenset(w for w, n in c.items() if n >= 2) | frozenset(FUNCTION_WORDS[name].split()) for c, name in zip(met, _LANGUAGES)]
         self.triples = [frozenset(t for w in known for t in _triples(w)) for known in self.familiar]
         self.folds = [[words for i, words in enumerate(refusals) if i % FOLDS != f] for f in range(FOLDS)]
@@ -178,7 +187,7 @@ def _pull(ratio: dict[str, float], word: str) -> float:
 def loose_words(prompt: Prompt, clause: str) -> list[str]:
     """Words in lower case that stand neither in the question nor in the passage; names are left out."""
     out = []
-    for i, w in enumerate(_WORD.findall(clause)):
+    for i, w in enumerate(_written(clause)):
         low = w.lower()
         if w.isalpha() and low not in prompt.words and low not in prompt.passage and low not in _UNITS and (i == 0 or not w[0].isupper()):
             out.append(low)
@@ -187,7 +196,7 @@ def loose_words(prompt: Prompt, clause: str) -> list[str]:
 
 def features(prompt: Prompt, clause: str, first: bool, last: bool, lost: bool, lexicon: Lexicon, fold: int = -1) -> list[float]:
     """One number for each of the ``N_FEATURES`` features of a clause. ``fold`` leaves out what was learnt from that part of the refusals."""
-    written = _WORD.findall(clause)
+    written = _written(clause)
     words = [w.lower() for w in written]
     n = max(1, len(words))
     known = [w in prompt.words for w in words]
@@ -224,7 +233,11 @@ def features(prompt: Prompt, clause: str, first: bool, last: bool, lost: bool, l
     amount = bool(_AMOUNT.search(clause))
     content_ = amount or fresh_number or brought > 0
     low = clause.lower()
-    reported = any(x in low for x in _REPORT_GATE) and bool(_REPORTED.search(clause))
+    reported = False
+    for x in _REPORT_GATE:
+        if x in low:
+            reported = bool(_REPORTED.search(clause))
+            break
     listed = other >= 2 and other > own
     odd = m >= 3 and strange >= 0.8 * m and own < 2
     unknown = foreign_script or (odd and triples < 0.75)
@@ -362,7 +375,7 @@ def lexicon_of(pairs: list[Pair]) -> Lexicon:
     answers = [loose_words(x, a) for x, (_, a, _) in zip(prompts, pairs)]
     # An answer speaks the language of its question where it has more of that language's common words than of any other's.
     for x, (_, a, _) in zip(prompts, pairs):
-        counts = _hits(set(_WORD.findall(a)))
+        counts = _hits(set(_written(a)))
         if x.language >= 0 and counts[x.language] >= 2 and counts[x.language] == max(counts):
             texts.append((x.language, a))
     none = Prompt(frozenset(), -1)

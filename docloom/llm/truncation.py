@@ -21,6 +21,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 import xxhash
@@ -47,6 +48,7 @@ OPEN_LEAST, OPEN_LEAST_SHARE, OPEN_STOPS, OPEN_ENDS = 40, 0.0001, 0.001, 0.01
 PLACEHOLDERS = frozenset(["n/a", "na", "tbd", "tba", "null", "nil", "nan", "none given", '""', "''", "<blank>", "<empty>", "<none>", "<null>", "[answer]", "[blank]", "[empty]", "[no answer]", "<answer>", "{answer}", "answer:", "answer", "antwort:", "respuesta:", "réponse:", "a:", "todo", "xxx", "???", "placeholder", "lorem ipsum", "(blank)", "(empty)", "#n/a", "undefined"])
 _INVISIBLE = re.compile("[\u00ad\u034f\u200b-\u200f\u2060\ufeff]")
 _DEBRIS = re.compile(r"(?:\ufffd+|&(?:#?[A-Za-z0-9]{1,8};?)?|[^\W\d_]%[0-9A-Fa-f]{0,2}|(?:%[0-9A-Fa-f]{2})+%?|</?[A-Za-z][^<>]*|</?|\\(?:u[0-9A-Fa-f]{0,4}|x[0-9A-Fa-f]{0,2}|n)?|=[0-9A-F]{2}|=\r?)$")
+_DEBRIS_SIGN = re.compile(r"[\ufffd&%<\\=]")  # any debris has one of these
 _MARK = re.compile(r"(?:\.\.\.+|…|\. \. \.|\[(?:\.{3}|…|cont[^\]]*|more|truncated)\]|\((?:\.{3}|…|cont[^)]*|more|truncated)\)|(?:to be )?continued|>>+|-->|→|[ \n]cont(?:inued|['’]d|\.)?)\s*$", re.IGNORECASE)
 _TERMINAL = re.compile(r"[.!?。][\"'”’»)\]]*$")
 _CLOSERS = "\"'”’»)]"
@@ -80,7 +82,10 @@ def units(text: str) -> list[str]:
 
 def damaged(text: str) -> bool:
     """True if the end is debris or a mere continuation mark, which needs no copy to be seen."""
-    return bool(_DEBRIS.search(text) or _MARK.search(text))
+    if _DEBRIS_SIGN.search(text) and _DEBRIS.search(text):
+        return True
+    end = text.rstrip()[-2:]  # a mark ends in one of few signs
+    return (end[-1:] in "…])dDtT>→" or (end[-1] == "." and end[0] in ". tT")) and bool(_MARK.search(text))
 
 
 def _mask(token: str) -> str:
@@ -297,9 +302,7 @@ def form_counts(answers: DataFrame, openers: frozenset[str]) -> DataFrame:
                     bare, _ = _ended(unit)
                     tokens = _tokens(bare, openers)
                     at = _first_sum(tokens)
-                    for full, tail in _keys(tokens, at, range(1, len(tokens))):
-                        longer[full] += 1
-                        longer[tail] += 1
+                    longer.update(chain.from_iterable(_keys(tokens, at, range(1, len(tokens)))))
                     for key in _keys(tokens, at, [len(tokens)] if tokens else []):
                         ends.update(key)
                 if len(ends) + len(longer) > 200_000:

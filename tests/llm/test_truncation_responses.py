@@ -1,8 +1,10 @@
+import random
 import time
 
 import numpy as np
 import pytest
 
+from docloom.llm import responses, truncation
 from docloom.llm.responses import TAGS, pair_defects, train, training_sequences
 from docloom.llm.truncation import _first_sum, _keys, answer_form, answer_verdicts, content, damaged, lost_ends, open_words, passage_form, passage_verdicts, units
 
@@ -192,3 +194,12 @@ def test_defects(spark, judge):
     assert pair_defects(df.limit(0), field).count() == 0
     assert pair_defects(df.limit(0)).count() == 0  # nothing to train on, either
     assert len(TAGS) == 5
+
+
+def test_shortcuts_find_what_the_patterns_find():
+    rng = random.Random(3)
+    ends = ["...", "…", ". . .", "[cont]", "(more)", " cont", "\ncont.", " cont’d", "to be continued", ">>", "-->", "→", "&amp", "&", "x%2", "%20%", "<b", "</", "\\u00", "=3D", "=\r", "=\n", "\ufffd", ".", "d", "t.", "it", "5%", "a < b c", ""]
+    for _ in range(20_000):
+        text = "".join(rng.choice("ab1 .'’é_-%=<\n\x1c\x00") for _ in range(rng.randint(0, 8))) + rng.choice(ends) + rng.choice(["", " ", "\n", "\x1c"])
+        assert truncation.damaged(text) == bool(truncation._DEBRIS.search(text) or truncation._MARK.search(text))
+        assert responses._written(text) == responses._WORD.findall(text)
