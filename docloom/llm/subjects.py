@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from hashlib import blake2b
 from itertools import chain
 
@@ -67,30 +68,70 @@ def words(sentence: str) -> list[str]:
     return _TOKEN.findall(sentence.lower())
 
 
-class _Hashes(dict[str, int]):
-    """Hashes of words, kept between texts."""
+class _Hashes(dict[bytes, int]):
+    """Hashes of words in UTF-8, kept between texts."""
 
     LIMIT = 500_000
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
             self.clear()
-        found = self[word] = int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+        found = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
         return found
 
 
 _hash_of = _Hashes().__getitem__
+_LETTER, _JOINER = 1, 2
+_AT_ONCE = 1 << 20
 
 
-def encode(text: str | None) -> tuple[list[int], list[int]]:
-    """Hashes of the words of a text, and how many of them each sentence has; sentences without words don't count."""
-    ids: list[int] = []
-    lengths: list[int] = []
-    for s in sentences(text):
-        if w := words(s):
-            ids.extend(map(_hash_of, w))
-            lengths.append(len(w))
-    return ids, lengths
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """By code point: whether ``words`` takes it as a letter, or as a sign that joins letters."""
+    kinds = np.zeros(0x110000, np.uint8)
+    for m in re.finditer(r"[^\W\d_]+", "".join(map(chr, range(len(kinds))))):
+        kinds[m.start() : m.end()] = _LETTER
+    kinds[[ord(c) for c in "'’-"]] = _JOINER
+    return kinds
+
+
+def encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the ``words`` of the texts, how many each sentence has, and the sentences of each text.
+
+    Sentences without words don't count. Those of about ``_AT_ONCE`` characters are taken apart at once.
+    """
+    found = [sentences(t) for t in texts]
+    owner = np.repeat(np.arange(len(found)), [len(x) for x in found])
+    every = list(chain.from_iterable(found))
+    part = np.cumsum(np.fromiter(map(len, every), np.int64, len(every))) // _AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(every)]
+    parts = [_encode(every[a:b]) for a, b in zip(cuts, cuts[1:])]
+    lengths = np.concatenate([n for _, n in parts])
+    return np.concatenate([h for h, _ in parts]), lengths[lengths > 0], np.bincount(owner[lengths > 0], minlength=len(found))
+
+
+def _encode(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of sentences, and how many each has; each distinct word is hashed once."""
+    signs = np.frombuffer("\n".join([s.lower() for s in found]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds = _kinds()[signs]
+    inside = np.zeros(len(signs) + 2, bool)  # with one sign before and after
+    letters = inside[1:-1]
+    letters[:] = kinds == _LETTER
+    at = np.flatnonzero(kinds == _JOINER)
+    joins = at[inside[at] & inside[at + 2]]
+    letters[joins] = True
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    flat = signs[letters]
+    data = flat.tobytes().decode("utf-32-le").encode()
+    if len(data) > len(flat):  # sizes in bytes
+        at = np.flatnonzero(flat >= 0x80)
+        more = np.searchsorted([0x80, 0x800, 0x10000], flat[at], side="right")
+        sizes = sizes + np.bincount(np.searchsorted(np.cumsum(sizes), at, side="right"), more, len(sizes)).astype(np.int64)
+    each = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))), pa.py_buffer(data)]).dictionary_encode()
+    hashes = np.fromiter(map(_hash_of, each.dictionary.to_pylist()), np.int64, len(each.dictionary))[each.indices.to_numpy()]
+    ends = np.append(np.flatnonzero(signs == ord("\n")), len(signs))[: len(found)]
+    return hashes, np.diff(np.searchsorted(starts, ends), prepend=0)
 
 
 def _starts(lengths: np.ndarray) -> np.ndarray:
@@ -172,10 +213,8 @@ class SubjectModel:
 
     def assign(self, texts: list[str | None]) -> list[list[str]]:
         """Subjects of each text, in the order of their codes."""
-        found = [encode(t) for t in texts]
-        lengths = np.array([n for _, x in found for n in x], np.int64)
-        rows = self.index.rows(np.array([h for x, _ in found for h in x], np.int64), lengths)
-        return self.assign_rows(rows, lengths, np.array([len(x) for _, x in found], np.int64))
+        hashes, lengths, per_text = encode(texts)
+        return self.assign_rows(self.index.rows(hashes, lengths), lengths, per_text)
 
     def assign_rows(self, rows: np.ndarray, lengths: np.ndarray, per_text: np.ndarray) -> list[list[str]]:
         if not len(lengths) or not self.codes:
@@ -190,7 +229,8 @@ class SubjectModel:
 
 
 def add_expected(block: Block, tables: np.ndarray, out: np.ndarray) -> None:
-    """Add how often each row is expected under each class of each model; ``tables`` is (rows, models, classes).
+    """Add how often each row is expected under each class of each model; ``tables`` is (rows, models, classes),
+    ``out`` (rows, models x classes).
 
     The first model learns from all documents, the others from one half of the labelled ones and all without labels.
     """
@@ -198,8 +238,8 @@ def add_expected(block: Block, tables: np.ndarray, out: np.ndarray) -> None:
     k, n, owner = classes - 1, len(block.per_doc), block.owner
     if not len(block.lengths):
         return
-    prior = np.full((n, classes), OTHER_PRIOR)
-    learns = np.ones((n, models))
+    prior = np.full((n, classes), OTHER_PRIOR, np.float32)
+    learns = np.ones((n, models), np.float32)
     unvoted = np.zeros(n, bool)
     for i, found in enumerate(block.labels):
         if found is None:
@@ -208,20 +248,27 @@ def add_expected(block: Block, tables: np.ndarray, out: np.ndarray) -> None:
         prior[i, found] = 1.0
         prior[i, k] = BACKGROUND_PRIOR if len(found) else 1.0
         learns[i, 1:] = block.halves[i] == np.arange(models - 1)
-    score = _sums(tables.reshape(size, -1), block.rows, block.lengths).astype(float).reshape(-1, models, classes) + np.log(prior)[owner][:, None]
+    score = _sums(tables.reshape(size, -1), block.rows, block.lengths).reshape(-1, models, classes) + np.log(prior)[owner][:, None]
     posterior = _normal(score)
     if unvoted.any():  # what the rest of its document is about counts for a sentence, too
         there = np.flatnonzero(block.per_doc)
-        mixture = np.add.reduceat(posterior, _starts(block.per_doc)[there], axis=0) + MIXTURE_FLOOR
-        share = np.zeros((n, models, classes))
+        mixture = np.add.reduceat(posterior, _starts(block.per_doc)[there], axis=0, dtype=float) + MIXTURE_FLOOR
+        share = np.zeros((n, models, classes), np.float32)
         share[there] = np.log(mixture / mixture.sum(axis=2, keepdims=True))
         share[~unvoted] = 0
         posterior = _normal(score + share[owner])
     posterior *= learns[owner][:, :, None]
-    flat = posterior.reshape(len(posterior), -1)
-    for c in range(flat.shape[1]):
-        kept = flat[:, c] > 1e-9  # less is rounding
-        out[c] += np.bincount(block.rows[np.repeat(kept, block.lengths)], np.repeat(flat[kept, c], block.lengths[kept]), size)
+    posterior[posterior <= 1e-9] = 0  # rounding
+    _add_by_row(posterior.reshape(len(posterior), -1), block.rows, block.lengths, out)
+
+
+def _add_by_row(values: np.ndarray, rows: np.ndarray, lengths: np.ndarray, out: np.ndarray) -> None:
+    """Add to each row of ``out`` the values of the sentences that have it, once for each time."""
+    pairs = np.sort(rows << 32 | np.repeat(np.arange(len(lengths)), lengths))
+    for a in range(0, len(pairs), 4000):  # few enough for the values to stay in the processor's cache, and for sums of their kind
+        part = pairs[a : a + 4000] >> 32
+        first = np.flatnonzero(np.diff(part, prepend=-1))
+        out[part[first]] += np.add.reduceat(np.take(values, pairs[a : a + 4000] & 0xFFFFFFFF, axis=0), first, axis=0)
 
 
 def _normal(score: np.ndarray) -> np.ndarray:
@@ -301,11 +348,9 @@ class _Texts:
     def __init__(self, docs: list[tuple[str, dict[str, int] | None]], codes: list[str]):
         at = {c: j for j, c in enumerate(codes)}
         labels = [None if votes is None else sorted(at[c] for c in votes if c in at) for _, votes in docs]
-        found = [encode(t) for t, _ in docs]
-        self.hashes = np.array([h for x, _ in found for h in x], np.int64)
-        lengths = np.array([n for _, x in found for n in x], np.int64)
+        self.hashes, lengths, per_doc = encode([t for t, _ in docs])
         place = np.cumsum([x is not None for x in labels], dtype=np.int64) - 1
-        self.block = Block(self.hashes, lengths, np.array([len(x) for _, x in found], np.int64), labels, place % 2)
+        self.block = Block(self.hashes, lengths, per_doc, labels, place % 2)
         self.n_labelled = sum(x is not None for x in labels)
 
     def word_counts(self, share: float) -> tuple[np.ndarray, np.ndarray]:
@@ -332,9 +377,9 @@ class _Texts:
         return Block(b.rows[np.repeat(sents, b.lengths)], b.lengths[sents], b.per_doc[docs], [x for x in b.labels if x is not None], b.halves[docs])
 
     def expected(self, tables: np.ndarray, labelled: bool) -> np.ndarray:
-        out = np.zeros((tables.shape[1] * tables.shape[2], len(tables)))
+        out = np.zeros((len(tables), tables.shape[1] * tables.shape[2]))
         add_expected(self._part(labelled), tables, out)
-        return out.T.reshape(tables.shape)
+        return out.reshape(tables.shape)
 
     def agreement(self, ratios: np.ndarray) -> np.ndarray:
         return agreement(self._part(True), ratios)
@@ -348,7 +393,7 @@ def _fit(corpus: _Texts | _Frames, codes: list[str], notes: dict[str, str] | Non
     """
     k = len(codes)
     # The subjects' own descriptions are one sentence each, sure to be about their subject.
-    fixed = [(codes.index(c), [_hash_of(x) for x in w]) for c, note in (notes or {}).items() if c in codes for part in note.split(";") if (w := words(part))]
+    fixed = [(codes.index(c), [_hash_of(x.encode()) for x in w]) for c, note in (notes or {}).items() if c in codes for part in note.split(";") if (w := words(part))]
     noted = np.array([h for _, w in fixed for h in w], np.int64)
     lengths = np.array([len(w) for _, w in fixed], np.int64)
     keys, counts = corpus.word_counts(LEAST_OF_WORDS)
@@ -405,17 +450,26 @@ _PART = 1024  # rows of the models' tables that are added up at once
 def _blocks(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """Slices of (key, words, lengths, ...) of about ``most`` words, with their words, lengths and sentences by document."""
     for batch in batches:
-        part = np.cumsum(pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)) // most
+        part = np.cumsum(_sizes(batch, 1)) // most
         for at in np.split(np.arange(len(part)), np.flatnonzero(np.diff(part)) + 1):
             if len(at):
                 x = batch.slice(at[0], len(at))
-                flat = [x.column(i).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2)]
-                yield x, *flat, pc.list_value_length(x.column(2)).to_numpy(zero_copy_only=False).astype(np.int64)
+                flat = [np.frombuffer(b"".join(x.column(i).to_pylist()), _PACKED[x.schema.names[i]]).astype(np.int64) for i in (1, 2)]
+                yield x, *flat, _sizes(x, 2)
+
+
+#: Numbers of a document are stored as bytes, which are copied whole, where lists would be taken apart at every step.
+_PACKED = {"words": np.dtype("<i8"), "rows": np.dtype("<i4"), "lengths": np.dtype("<i4")}
+
+
+def _packed(name: str, flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    kind = _PACKED[name]
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * kind.itemsize).astype(np.int32)), pa.py_buffer(flat.astype(kind))])
 
 
-def _lists(values: list[list[int]], kind: pa.DataType) -> pa.ListArray:
-    flat = np.fromiter(chain.from_iterable(values), np.int64)
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, values)]), pa.int32()), pa.array(flat).cast(kind))
+def _sizes(batch: pa.RecordBatch, column: int) -> np.ndarray:
+    """How many numbers each value of a packed column has."""
+    return pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64) // _PACKED[batch.schema.names[column]].itemsize
 
 
 class _Frames:
@@ -428,10 +482,11 @@ class _Frames:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in slices(batch, 1, 1 << 20):
-                    found = [encode(t) for t in part.column(1).to_pylist()]
-                    yield pa.RecordBatch.from_arrays([part.column(0), _lists([x for x, _ in found], pa.int64()), _lists([x for _, x in found], pa.int32())], ["doc_id", "words", "lengths"])
+                    hashes, lengths, per_doc = encode(part.column(1).to_pylist())
+                    ends = np.cumsum(np.append(0, per_doc))
+                    yield pa.RecordBatch.from_arrays([part.column(0), _packed("words", hashes, np.cumsum(np.append(0, lengths))[ends]), _packed("lengths", lengths, ends)], ["doc_id", "words", "lengths"])
 
-        self.hashed = materialize(docs.select("doc_id", "text").where("text is not null").mapInArrow(run, f"doc_id {self.kind}, words array<bigint>, lengths array<int>"), "p9-words")
+        self.hashed = materialize(docs.select("doc_id", "text").where("text is not null").mapInArrow(run, f"doc_id {self.kind}, words binary, lengths binary"), "p9-words")
         self.rows = self.labelled = self.hashed
         self.n_labelled = 0
 
@@ -460,18 +515,17 @@ class _Frames:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for x, hashes, lengths, _ in _blocks(batches):
-                rows = shared.value.rows(hashes, lengths).astype(np.int32)
-                ends = np.cumsum(np.concatenate(([0], pc.list_value_length(x.column(1)).to_numpy(zero_copy_only=False))))
+                rows = _packed("rows", shared.value.rows(hashes, lengths), np.cumsum(np.append(0, _sizes(x, 1))))
                 labels = [None if v is None else sorted(at[c] for c in v if c in at) for v in x.column(3).to_pylist()]
-                yield pa.RecordBatch.from_arrays([x.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rows)), x.column(2), pa.array(labels, pa.list_(pa.int32())), x.column(4)], ["doc_id", "rows", "lengths", "labels", "half"])
+                yield pa.RecordBatch.from_arrays([x.column(0), rows, x.column(2), pa.array(labels, pa.list_(pa.int32())), x.column(4)], ["doc_id", "rows", "lengths", "labels", "half"])
 
         votes = _votes(self.labels).select("doc_id", F.col("votes.code").alias("codes"))
         half = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(2)).cast("int")
         known = self.hashed.join(votes, "doc_id", "left").select("doc_id", "words", "lengths", "codes", half.alias("half"))
-        self.rows = materialize(known.mapInArrow(run, f"doc_id {self.kind}, rows array<int>, lengths array<int>, labels array<int>, half int"), "p9-rows")
+        self.rows = materialize(known.mapInArrow(run, f"doc_id {self.kind}, rows binary, lengths binary, labels array<int>, half int"), "p9-rows")
         self.labelled = materialize(self.rows.where("labels is not null"), "p9-labelled")
         self.n_labelled = self.labelled.count()
-        return self._added(self.rows, lambda block, out: out.__iadd__(np.bincount(block.rows, minlength=out.shape[1])), (1, index.size))[0]
+        return self._added(self.rows, lambda block, out: out.__iadd__(np.bincount(block.rows, minlength=len(out))[:, None]), (index.size, 1))[:, 0]
 
     def _added(self, frame: DataFrame, add, shape: tuple[int, int]) -> np.ndarray:
         """What ``add`` adds to an array of ``shape`` for every block, summed over all tasks."""
@@ -480,8 +534,8 @@ class _Frames:
             out = np.zeros(shape)
             for x, rows, lengths, per_doc in _blocks(batches):
                 add(Block(rows, lengths, per_doc, x.column(3).to_pylist(), x.column(4).to_numpy(zero_copy_only=False).astype(np.int64)), out)
-            for a in range(0, shape[1], _PART):
-                if (part := out[:, a : a + _PART]).any():
+            for a in range(0, shape[0], _PART):
+                if (part := out[a : a + _PART]).any():
                     yield pa.RecordBatch.from_arrays([pa.array([a // _PART], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["part", "sums"])
 
         def total(part: pa.Table) -> pa.Table:
@@ -490,21 +544,20 @@ class _Frames:
 
         out = np.zeros(shape)
         for r in frame.mapInArrow(run, "part int, sums binary").groupBy("part").applyInArrow(total, "part int, sums binary").collect():
-            at = slice(r["part"] * _PART, (r["part"] + 1) * _PART)
-            out[:, at] = np.frombuffer(r["sums"]).reshape(shape[0], -1)
+            out[r["part"] * _PART : (r["part"] + 1) * _PART] = np.frombuffer(r["sums"]).reshape(-1, shape[1])
         return out
 
     def expected(self, tables: np.ndarray, labelled: bool) -> np.ndarray:
         shared = self.spark.sparkContext.broadcast(tables)
         size, models, classes = tables.shape
-        out = self._added(self.labelled if labelled else self.rows, lambda block, out: add_expected(block, shared.value, out), (models * classes, size))
+        out = self._added(self.labelled if labelled else self.rows, lambda block, out: add_expected(block, shared.value, out), (size, models * classes))
         shared.destroy()
-        return out.T.reshape(tables.shape)
+        return out.reshape(tables.shape)
 
     def agreement(self, ratios: np.ndarray) -> np.ndarray:
         shared = self.spark.sparkContext.broadcast(ratios)
         shape = (len(_GRID) + 1, 2, ratios.shape[2])
-        return self._added(self.labelled, lambda block, out: out.__iadd__(agreement(block, shared.value).reshape(1, -1)), (1, int(np.prod(shape)))).reshape(shape)
+        return self._added(self.labelled, lambda block, out: out.__iadd__(agreement(block, shared.value).reshape(-1, 1)), (int(np.prod(shape)), 1)).reshape(shape)
 
     def assigned(self, model: SubjectModel) -> DataFrame:
         """(doc_id, subject_code) for every subject of every document."""
